@@ -10,6 +10,10 @@ HEADER_NAME = "x-amzn-trace-id"
 ROOT_LENGTH = 35
 ROOT_PATTERN = "^1-[0-9a-f]{8}-[0-9a-f]{24}"
 PARENT_PATTERN = "^[0-9a-f]{16}"
+# root first, then optionally a parent and a decision: the length tells which are there
+PLAIN_PATTERN = (
+    "^Root=1-[0-9a-f]{8}-[0-9a-f]{24}(;Parent=[0-9a-f]{16})?(;Sampled=[01?])?$"
+)
 
 _STATE = (
     "struct<root:string,parent:string,sampled:boolean,custom:string,"
@@ -106,9 +110,27 @@ def parse_trace_header(header: Column) -> Column:
     Custom fields keep their order and come back as ``;name=value`` text.  The first malformed
     root or parent ends the reading; what was read before it stays.
     """
+    return F.when(header.rlike(PLAIN_PATTERN), _settle(_read_plain(header))).when(
+        header.isNotNull(), _read_any(header)
+    )
+
+
+def _read_plain(header: Column) -> dict[str, Column]:
+    """A header in the form it is written in, read by position."""
+    length = F.length(header)
+    flag = F.when(length.isin(50, 74), F.substring(header, -1, 1))
+    return {
+        "root": F.concat(F.substring(header, 8, 8), F.substring(header, 17, 24)),
+        "parent": F.when(length >= 64, F.substring(header, 49, 16)),
+        "sampled": F.when(flag == "1", F.lit(True)).when(flag == "0", F.lit(False)),
+        "custom": F.lit(""),
+    }
+
+
+def _read_any(header: Column) -> Column:
     tokens = F.split(header, ";")
     last = F.size(tokens) - 1
-    state = F.aggregate(
+    return F.aggregate(
         F.transform(
             tokens, lambda text, i: F.struct(text.alias("text"), (i == last).alias("last"))
         ),
@@ -124,10 +146,9 @@ def parse_trace_header(header: Column) -> Column:
         lambda s, t: _step(s, t).cast(_STATE),
         _settle,
     )
-    return F.when(header.isNotNull(), state)
 
 
-def _settle(s: Column) -> Column:
+def _settle(s) -> Column:
     # an all-zero high half counts as absent, and a parent without a root says nothing
     usable = s["root"].isNotNull() & ~s["root"].startswith("0" * 16)
     return F.struct(

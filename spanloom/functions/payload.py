@@ -52,5 +52,14 @@ def utf16_length(text: Column) -> Column:
     return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
 
 
+def utf16_shorter(text: Column, limit: int) -> Column:
+    """Whether the UTF-16 length is below a limit; only doubtful texts are encoded to find out."""
+    return (
+        F.when(F.octet_length(text) < limit, F.lit(True))
+        .when(F.length(text) >= limit, F.lit(False))
+        .otherwise(utf16_length(text) < limit)
+    )
+
+
 def empty_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))

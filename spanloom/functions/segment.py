@@ -2,17 +2,20 @@
 
 Everything here is a narrow projection over the span columns: no shuffle, no Python.
 A section object exists as soon as *any* tag with its prefix is present, recognised or not.
+
+Parts that several fields need are columns of ``prepared`` spans, so they are worked out once a row;
+the functions that say so read them.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.headers import format_root_id
-from spanloom.functions.payload import utf16_length
+from spanloom.functions.payload import utf16_shorter
 
 # Fixed values of the segment format.
 DATAGRAM_HEADER = '{"format": "json", "version": 1}'
@@ -68,6 +71,33 @@ def has_section(prefix: str) -> Column:
     )
 
 
+def prepared(spans: DataFrame) -> DataFrame:
+    """Add the shared parts: section flags, status, method, exceptions, and the leftover tags."""
+    status = tag(HTTP_TAGS["status"])
+    parts = spans.withColumns({
+        "_has_http": has_section("http."),
+        "_has_sql": has_section("sql."),
+        "_has_cause": has_section("cause."),
+        "_status": F.when(status.rlike("^[+-]?[0-9]+$"), status.try_cast("int")),
+        "_exceptions": F.try_parse_json(tag(CAUSE_TAGS["exceptions"])),
+        "_rest": F.map_filter("tags", lambda k, v: ~k.isin(CONSUMED_TAGS) & v.isNotNull()),
+    })
+    short = F.map_filter("_rest", lambda _, v: utf16_shorter(v, METADATA_LENGTH))
+    long = F.map_filter("_rest", lambda _, v: ~utf16_shorter(v, METADATA_LENGTH))
+    return parts.withColumns({
+        # the method as tagged, else the span name; null unless there is an http section
+        "_method": F.when(
+            F.col("_has_http"), F.coalesce(tag(HTTP_TAGS["method"]), F.col("name"))
+        ),
+        "_short": _underscored(short),
+        "_long": _underscored(long),
+    })
+
+
+def _underscored(tags: Column) -> Column:
+    return F.transform_keys(tags, lambda k, _: F.replace(k, F.lit("."), F.lit("_")))
+
+
 def calls_out() -> Column:
     return F.coalesce(F.col("kind").isin("CLIENT", "PRODUCER"), F.lit(False))
 
@@ -115,35 +145,34 @@ def in_progress() -> Column:
 
 
 def status_is_number() -> Column:
-    """False only for a status tag that is not an integer."""
-    status = tag(HTTP_TAGS["status"])
-    readable = status.rlike("^[+-]?[0-9]+$") & status.try_cast("int").isNotNull()
-    return status.isNull() | readable
+    """False only for a status tag that is not an integer.  Reads prepared spans."""
+    return tag(HTTP_TAGS["status"]).isNull() | F.col("_status").isNotNull()
 
 
-def http_status() -> Column:
-    status = tag(HTTP_TAGS["status"])
-    return F.when(status.rlike("^[+-]?[0-9]+$"), status.try_cast("int"))
+def http_method() -> Column:
+    """Reads prepared spans."""
+    return F.upper("_method")
 
 
-def http_method() -> Column:
-    """The method as tagged, else the span name; null unless there is an http section."""
-    return F.when(has_section("http."), F.coalesce(tag(HTTP_TAGS["method"]), F.col("name")))
+def http_status() -> Column:
+    """Reads prepared spans."""
+    return F.col("_status")
 
 
 def http() -> Column:
-    method, url, status = F.upper(http_method()), tag(HTTP_TAGS["url"]), http_status()
+    """Reads prepared spans."""
+    method, url, status = http_method(), tag(HTTP_TAGS["url"]), http_status()
     request = F.when(
         method.isNotNull() | url.isNotNull(), F.struct(method.alias("method"), url.alias("url"))
     )
     response = F.when(status.isNotNull(), F.struct(status.alias("status")))
     return F.when(
-        has_section("http."), F.struct(request.alias("request"), response.alias("response"))
+        F.col("_has_http"), F.struct(request.alias("request"), response.alias("response"))
     )
 
 
 def status_class() -> Column:
-    """``throttle``, ``fault`` or ``error``, of which a span has at most one."""
+    """``throttle``, ``fault`` or ``error``, at most one of them.  Reads prepared spans."""
     status = http_status()
     return (
         F.when(status == 429, F.lit("throttle"))
@@ -157,7 +186,8 @@ def status_flag(which: str) -> Column:
 
 
 def sql() -> Column:
-    return F.when(has_section("sql."), F.struct(*[tag(t).alias(f) for f, t in SQL_TAGS.items()]))
+    """Reads prepared spans."""
+    return F.when(F.col("_has_sql"), F.struct(*[tag(t).alias(f) for f, t in SQL_TAGS.items()]))
 
 
 def sdk() -> Column:
@@ -182,74 +212,56 @@ def origin() -> Column:
     return tag(ORIGIN_TAG)
 
 
-def exceptions() -> Column:
-    """The tagged exceptions as a JSON value, or null when the tag holds broken JSON."""
-    return F.try_parse_json(tag(CAUSE_TAGS["exceptions"]))
-
-
 def has_broken_exceptions() -> Column:
-    return tag(CAUSE_TAGS["exceptions"]).isNotNull() & exceptions().isNull()
+    """Whether the exceptions tag holds broken JSON and so is left out.  Reads prepared spans."""
+    return tag(CAUSE_TAGS["exceptions"]).isNotNull() & F.col("_exceptions").isNull()
 
 
 def cause() -> Column:
+    """Exceptions become part of the document as the JSON they hold.  Reads prepared spans."""
     return F.when(
-        has_section("cause."),
+        F.col("_has_cause"),
         F.struct(
             tag(CAUSE_TAGS["working_directory"]).alias("working_directory"),
-            exceptions().alias("exceptions"),
+            F.col("_exceptions").alias("exceptions"),
         ),
     )
 
 
-def _leftover(keep) -> Column:
-    return F.transform_keys(
-        F.map_filter(
-            "tags", lambda k, v: ~k.isin(CONSUMED_TAGS) & v.isNotNull() & keep(utf16_length(v))
-        ),
-        lambda k, _: F.replace(k, F.lit("."), F.lit("_")),
-    )
-
-
 def tag_annotations() -> Column:
-    """Short tags that fill no other field, with underscores for dots."""
-    return _leftover(lambda n: n < METADATA_LENGTH)
+    """Short tags that fill no other field, with underscores for dots.  Reads prepared spans."""
+    return F.col("_short")
 
 
 def metadata() -> Column:
-    """Long tags that fill no other field."""
-    return F.when(F.size(F.map_filter("tags", lambda k, v: _is_long(k, v))) > 0,
-                  _leftover(lambda n: n >= METADATA_LENGTH))
-
-
-def _is_long(k: Column, v: Column) -> Column:
-    return ~k.isin(CONSUMED_TAGS) & v.isNotNull() & (utf16_length(v) >= METADATA_LENGTH)
+    """Long tags that fill no other field; null when there is none.  Reads prepared spans."""
+    return F.when(F.size("_long") > 0, F.col("_long"))
 
 
 def operation() -> Column:
-    """The span name when it is not the request method already and other annotations exist."""
-    has_annotations = F.size(tag_annotations()) > 0
-    method = http_method()
+    """The span name when it is not the request method already and other annotations exist.
+
+    Reads prepared spans.
+    """
     return F.when(
-        has_annotations & method.isNotNull() & F.col("name").isNotNull()
-        & (method != F.col("name")),
+        (F.size("_short") > 0) & F.col("_method").isNotNull() & (F.col("_method") != F.col("name")),
         F.col("name"),
     )
 
 
 def annotations() -> Column:
-    """All annotations of the segment; null when there is none."""
-    own = tag_annotations()
+    """All annotations of the segment; null when there is none.  Reads prepared spans."""
     # a tag called "operation" comes after the generated one and so replaces it
     return F.when(
-        F.size(own) > 0,
-        F.when(operation().isNull(), own).otherwise(
-            F.map_concat(F.create_map(F.lit("operation"), operation()), own)
+        F.size("_short") > 0,
+        F.when(operation().isNull(), F.col("_short")).otherwise(
+            F.map_concat(F.create_map(F.lit("operation"), operation()), F.col("_short"))
         ),
     )
 
 
 def document() -> Column:
-    """The segment as JSON text; absent fields are left out."""
+    """The segment as JSON text; absent fields are left out.  Reads prepared spans."""
     return F.to_json(
         F.struct(
             trace_id().alias("trace_id"),

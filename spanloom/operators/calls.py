@@ -108,7 +108,7 @@ def call_events(attempts: DataFrame) -> DataFrame:
 
 def operation_span(grouped: DataFrame) -> DataFrame:
     """Client spans from call columns plus ``events``, the gathered events of one call."""
-    ordered = grouped.withColumn("events", F.array_sort("events"))
+    ordered = grouped.withColumn("events", F.sort_array("events"))
     first = F.get("events", 0)
     last = F.array_max(
         F.transform(

@@ -15,17 +15,16 @@ _CONTENT = [
 
 
 def content_hash(columns: list[str]) -> Column:
-    """Digest of what a span says, whichever message delivered it.
+    """A number for what a span says, whichever message delivered it.
 
     Map entries are sorted first because their order is not part of the content.
     """
-    present = [F.col(c).cast("string") for c in SPAN_KEY + _CONTENT if c in columns]
-    parts = [F.to_json(F.struct(*present))]
+    parts = [F.col(c) for c in SPAN_KEY + _CONTENT if c in columns]
     if "tags" in columns:
-        parts.append(F.to_json(F.array_sort(F.map_entries("tags"))))
+        parts.append(F.sort_array(F.map_entries("tags")))
     if "annotations" in columns:
-        parts.append(F.to_json(F.array_sort("annotations")))
-    return F.md5(F.concat_ws("\u0001", *parts).cast("binary"))
+        parts.append(F.sort_array("annotations"))
+    return F.xxhash64(*parts)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

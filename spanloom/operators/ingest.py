@@ -185,7 +185,9 @@ def _v2_span(e: Column) -> Column:
         **_endpoint("local", e["localEndpoint"]),
         **_endpoint("remote", e["remoteEndpoint"]),
         "annotations": _plain_annotations(e["annotations"]),
-        "tags": F.coalesce(e["tags"], schema.empty_tags()),
+        "tags": F.coalesce(
+            F.map_filter(e["tags"], lambda _, v: v.isNotNull()), schema.empty_tags()
+        ),
         "debug": e["debug"],
         "shared": e["shared"],
     })

@@ -95,7 +95,7 @@ def oversize_spans(packed: DataFrame) -> DataFrame:
 def _lists(packed: DataFrame) -> DataFrame:
     """One JSON list per message; a group holds no more than the message limit."""
     member = F.struct("trace_id", "id", "kind", "json")
-    ordered = F.transform(F.array_sort(F.collect_list(member)), lambda m: m["json"])
+    ordered = F.transform(F.sort_array(F.collect_list(member)), lambda m: m["json"])
     return packed.filter(F.col("batch").isNotNull()).groupBy("pack_key", "batch").agg(
         F.count("*").alias("span_count"),
         (F.sum("size") + 1).alias("list_bytes"),

@@ -11,7 +11,7 @@ SHORT_TRACE_ID, BAD_STATUS = "trace_id_not_128_bit", "status_not_a_number"
 
 
 def reject_reason() -> Column:
-    """Why a span cannot become a segment; null when it can."""
+    """Why a span cannot become a segment; null when it can.  Reads prepared spans."""
     short = F.coalesce(F.length("trace_id") != s.TRACE_ID_LENGTH, F.lit(True))
     return F.when(short, F.lit(SHORT_TRACE_ID)).when(~s.status_is_number(), F.lit(BAD_STATUS))
 
@@ -20,13 +20,10 @@ def require_128bit_trace_id(spans: DataFrame) -> DataFrame:
     return spans.filter(F.length("trace_id") == s.TRACE_ID_LENGTH)
 
 
-def encodable(spans: DataFrame) -> DataFrame:
-    return spans.filter(reject_reason().isNull())
-
-
 def quarantined(spans: DataFrame) -> DataFrame:
-    """The spans ``encodable`` leaves out, with the reason."""
-    return spans.withColumn("reason", reject_reason()).filter(F.col("reason").isNotNull())
+    """The spans that cannot become segments, with the reason."""
+    marked = s.prepared(spans).withColumn("reason", reject_reason())
+    return marked.filter(F.col("reason").isNotNull()).select(*spans.columns, "reason")
 
 
 def default_sdk_tag(spans: DataFrame, sdk: str = s.REPORTER_SDK) -> DataFrame:
@@ -41,8 +38,8 @@ def default_sdk_tag(spans: DataFrame, sdk: str = s.REPORTER_SDK) -> DataFrame:
 
 
 def segment_columns(spans: DataFrame) -> DataFrame:
-    """All scalar segment fields as columns, plus annotation and metadata maps."""
-    return spans.select(
+    """Segments of all encodable spans: scalar fields as columns, annotation and metadata maps."""
+    return s.prepared(spans).filter(reject_reason().isNull()).select(
         "trace_id",
         "id",
         s.trace_id().alias("xray_trace_id"),
@@ -53,7 +50,7 @@ def segment_columns(spans: DataFrame) -> DataFrame:
         s.start_time().alias("start_time"),
         s.end_time().alias("end_time"),
         s.in_progress().alias("in_progress"),
-        F.upper(s.http_method()).alias("http_method"),
+        s.http_method().alias("http_method"),
         s.tag(s.HTTP_TAGS["url"]).alias("http_url"),
         s.http_status().alias("http_status"),
         s.status_class().alias("status_class"),
@@ -69,12 +66,12 @@ def segment_columns(spans: DataFrame) -> DataFrame:
 
 def segment_entries(spans: DataFrame, entries: Column) -> DataFrame:
     """Annotations or metadata as one row per entry."""
-    return spans.select("trace_id", "id", F.explode(entries).alias("key", "value"))
+    return s.prepared(spans).select("trace_id", "id", F.explode(entries).alias("key", "value"))
 
 
 def segment_documents(spans: DataFrame) -> DataFrame:
     """One document per encodable span; ``broken_exceptions`` marks those that lost a field."""
-    return encodable(spans).select(
+    return s.prepared(spans).filter(reject_reason().isNull()).select(
         "trace_id",
         "id",
         s.document().alias("document"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom import session
+from spanloom import schema, session
 from spanloom.functions import calls as call_fields
 from spanloom.functions import headers, hosts, ids, payload, sampling
 from spanloom.functions import segment as seg
@@ -109,13 +109,18 @@ def read_all_spans(spark, sf_dir):
     )
 
 
-def _packed(spark, sf_dir, max_bytes: int, base64: bool) -> DataFrame:
-    unique = dedup.dedup_spans(inputs.spans(spark, sf_dir)).drop("tags", "annotations")
-    plain = unique.withColumn("tags", F.create_map().cast("map<string,string>")).withColumn(
-        "annotations", F.array().cast("array<struct<timestamp:bigint,value:string>>")
-    )
+def _encoded(spark, sf_dir) -> DataFrame:
+    """Encoded spans, staged: packing reads their sizes first and the whole rows afterwards."""
+    unique = dedup.dedup_spans(inputs.spans(spark, sf_dir).drop("tags"))
+    untagged = schema.conform(unique.withColumn("tags", schema.empty_tags()))
     key = packing.partition_key(F.col("local_service"), F.col("trace_id"))
-    return packing.pack_spans(packing.encode_spans(plain, key), max_bytes, base64)
+    path = session.new_run_dir(spark, "encoded")
+    packing.encode_spans(untagged, key).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _packed(spark, sf_dir, max_bytes: int, base64: bool) -> DataFrame:
+    return packing.pack_spans(_encoded(spark, sf_dir), max_bytes, base64)
 
 
 @query
@@ -252,7 +257,7 @@ def sample_traces(spark, sf_dir):
 @query
 def encode_body(spark, sf_dir):
     """Event lists and, being rich in accents, whole document texts as message bodies."""
-    texts = inputs.table(spark, sf_dir, "documents").select(
+    texts = inputs.main_table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("key"), F.col("text")
     )
     return texts.select("key", F.md5(payload.encode_body(F.col("text"))).alias("body_md5"))
@@ -299,7 +304,7 @@ def _segment_query(name: str, columns: Callable[[], dict[str, Column]]) -> None:
     """Register a projection; its columns are built when it runs, as they need a session."""
 
     def run(spark, sf_dir):
-        return inputs.spans(spark, sf_dir).select(
+        return seg.prepared(inputs.spans(spark, sf_dir)).select(
             "trace_id", "id", *[c.alias(n) for n, c in columns().items()]
         )
 
@@ -356,8 +361,8 @@ def xray_metadata(spark, sf_dir):
 @query
 def xray_segments(spark, sf_dir):
     """All scalar segment fields of all encodable spans at once: the flagship."""
-    spans = segments.encodable(inputs.spans(spark, sf_dir))
-    return segments.segment_columns(spans).drop("annotations", "metadata")
+    segment_rows = segments.segment_columns(inputs.spans(spark, sf_dir))
+    return segment_rows.drop("annotations", "metadata")
 
 
 # ---------------------------------------------------------------- trace headers
@@ -419,7 +424,7 @@ def root_epoch(spark, sf_dir):
 
 @query
 def hex_id(spark, sf_dir):
-    events = inputs.table(spark, sf_dir, "events")
+    events = inputs.main_table(spark, sf_dir, "events")
     return events.select("event_id", ids.hex_id(F.col("event_id") * 1_000_003).alias("hex"))
 
 
@@ -579,7 +584,7 @@ def pack_spans(spark, sf_dir):
 def partition_key(spark, sf_dir):
     host = F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("host-"), F.col("user_id").cast("string")))
     key = packing.partition_key(host, F.concat(F.lit("producer-"), F.col("user_id").cast("string")))
-    return inputs.table(spark, sf_dir, "events").select("event_id", key.alias("partition_key"))
+    return inputs.main_table(spark, sf_dir, "events").select("event_id", key.alias("partition_key"))
 
 
 # ---------------------------------------------------------------- trace store

@@ -15,11 +15,30 @@ from spanloom.plans.dialect import DUCK, SPARK
 
 Columns = list[tuple[str, str]]
 
+# columns that tell rows of a table apart
+ROW_KEYS = {
+    "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"],
+    "customer": ["c_custkey"], "supplier": ["s_suppkey"], "events": ["event_id"],
+    "documents": ["doc_id"],
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def main_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that leads a query, spread over all cores when it comes as too few splits.
+
+    A file of one row group is one task however long the work on it takes.  Tables of a size that
+    matters have more splits than cores and are left as they are.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() * 2 <= cores
+    return df.repartition(cores, *ROW_KEYS[name]) if few else df
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a stream.
 
@@ -118,7 +137,7 @@ ALL_TAGS = [*ROOT_TAGS, *CHILD_TAGS]
 
 
 def _join(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
-    joined = table(spark, sf_dir, tables[0][0])
+    joined = main_table(spark, sf_dir, tables[0][0])
     for name, condition in tables[1:]:
         joined = joined.join(table(spark, sf_dir, name), F.expr(condition))
     return joined
@@ -130,28 +149,29 @@ def _project(df: DataFrame, columns: Columns, *more) -> DataFrame:
 
 def _tag_map(tags: dict[str, str]):
     pairs = [x for k, e in tags.items() for x in (F.lit(k), F.expr(e))]
-    return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("tags")
+    built = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+    # a stored table holds its tags ready made; without the explode every filter on a tag would
+    # build the map again below the joins
+    return F.explode(F.array(built)).alias("tags")
 
 
-def root_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = _join(spark, sf_dir, ORDER_JOIN)
+def root_spans(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+    joined = _join(spark, sf_dir, ORDER_JOIN).filter(which)
     return schema.conform(_project(joined, root_columns(SPARK), _tag_map(ROOT_TAGS)))
 
 
-def child_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = _join(spark, sf_dir, ITEM_JOIN)
+def child_spans(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+    joined = _join(spark, sf_dir, ITEM_JOIN).filter(which)
     return schema.conform(_project(joined, child_columns(SPARK), _tag_map(CHILD_TAGS)))
 
 
-def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return root_spans(spark, sf_dir).unionByName(child_spans(spark, sf_dir))
+def spans(spark: SparkSession, sf_dir: str, which: str = "true") -> DataFrame:
+    return root_spans(spark, sf_dir, which).unionByName(child_spans(spark, sf_dir, which))
 
 
 def delivered_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans plus the redelivery of every fifth order's."""
-    once = spans(spark, sf_dir)
-    order_number = F.conv(F.substring("id", -12, 12), 16, 10).cast("bigint") - 1
-    return once.unionByName(once.filter(order_number % 5 == 0))
+    return spans(spark, sf_dir).unionByName(spans(spark, sf_dir, "o_orderkey % 5 = 0"))
 
 
 def _duck_select(columns: Columns, tags: dict[str, str], tables) -> str:
@@ -233,11 +253,11 @@ def records(events: DataFrame) -> DataFrame:
 
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages(table(spark, sf_dir, "events"))
+    return messages(main_table(spark, sf_dir, "events"))
 
 
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(table(spark, sf_dir, "events"))
+    return records(main_table(spark, sf_dir, "events"))
 
 
 def _sql(columns: Columns, source: str) -> str:
@@ -290,7 +310,7 @@ def v1_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("transport", TRANSPORT), ("body", _v1_text(SPARK)),
         ("received_at", SPARK.timestamp("ts")),
     ]
-    return _project(table(spark, sf_dir, "events"), columns)
+    return _project(main_table(spark, sf_dir, "events"), columns)
 
 
 # ---------------------------------------------------------------- headers

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.operators import calls, metrics
-from spanloom.operators.dedup import content_hash
+from spanloom.operators.dedup import SPAN_KEY, content_hash
 
 DEFAULT_DELAY = "10 minutes"
 DEFAULT_TIMEOUT = "1 minute"
@@ -21,7 +21,9 @@ def dedup_stream(spans: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     timed = spans.withColumn(
         "event_time", F.timestamp_micros(F.coalesce("timestamp", F.lit(0).cast("bigint")))
     ).withColumn("content", content_hash(spans.columns))
-    unique = timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["content"])
+    unique = timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
+        [*SPAN_KEY, "content"]
+    )
     return unique.drop("event_time", "content")
 
 
