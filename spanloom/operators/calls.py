@@ -18,6 +18,10 @@ from spanloom.functions import ids
 LOCAL_SPAN_NAME = "aws-sdk"
 SENT, RECEIVED = "ws", "wr"
 
+# Calls with more attempts than this are not gathered into one row.
+MAX_GATHERED = 10_000
+MAX_BROADCAST_CALLS = 100_000
+
 # The same for all attempts of a call; grouping by them spares an aggregate over text.
 CALL_COLUMNS = ["call_id", "service", "request_class", "trace_id", "parent_id"]
 
@@ -121,24 +125,35 @@ def operation_span(grouped: DataFrame) -> DataFrame:
     )
     shaped = ordered.withColumn("first", first).withColumn("last", last)
     finished = F.col("last.phase") == 1
-    status = F.when(finished, F.col("last.status"))
+    notes = F.transform(
+        "events",
+        lambda e: F.struct(
+            e["timestamp"].alias("timestamp"),
+            F.when(e["phase"] == 0, SENT).otherwise(RECEIVED).alias("value"),
+        ),
+    )
+    return _client_span(
+        shaped.withColumn("timestamp", F.col("first.timestamp")),
+        F.when(finished, F.col("last.timestamp") - F.col("first.timestamp")),
+        F.when(finished, F.col("last.status")),
+        notes,
+    )
+
+
+def _client_span(
+    per_call: DataFrame, duration: Column, status: Column, annotations: Column
+) -> DataFrame:
     operation = _operation()
-    spans = shaped.select(
+    spans = per_call.select(
         "trace_id",
         "parent_id",
         call_span_id().alias("id"),
         F.lit("CLIENT").alias("kind"),
         operation.alias("name"),
-        F.col("first.timestamp").alias("timestamp"),
-        F.when(finished, F.col("last.timestamp") - F.col("first.timestamp")).alias("duration"),
+        "timestamp",
+        duration.alias("duration"),
         F.col("service").alias("remote_service"),
-        F.transform(
-            "events",
-            lambda e: F.struct(
-                e["timestamp"].alias("timestamp"),
-                F.when(e["phase"] == 0, SENT).otherwise(RECEIVED).alias("value"),
-            ),
-        ).alias("annotations"),
+        annotations.alias("annotations"),
         _tags(
             aws__service_name=F.col("service"), aws__operation=operation, **_status_tags(status)
         ).alias("tags"),
@@ -146,13 +161,28 @@ def operation_span(grouped: DataFrame) -> DataFrame:
     return schema.conform(spans)
 
 
-def sdk_operation_spans(attempts: DataFrame) -> DataFrame:
+def sdk_operation_spans(attempts: DataFrame, max_gathered: int = MAX_GATHERED) -> DataFrame:
     """One client span per call; retries show as repeated send and receive annotations.
 
-    The annotations are part of the span row, so what is gathered is the output row itself: the
-    attempts of one call, which the SDK's retry policy bounds.
+    Annotations are part of the span row, so only calls of up to ``max_gathered`` attempts are
+    gathered.  A longer call gives the same row from partial aggregates, without annotations: those
+    are the rows of ``call_annotations``.
     """
     log = with_call_context(attempts)
+    long = (
+        log.groupBy("call_id").count().filter(F.col("count") > max_gathered)
+        # a key of its own, so that the joins below start from a shuffle and skew is split
+        .select(F.substring("call_id", F.lit(1), F.length("call_id")).alias("call_id"))
+    )
+    found = long.limit(MAX_BROADCAST_CALLS + 1).count()
+    if found == 0:
+        return _gathered(log)
+    side = F.broadcast(long) if found <= MAX_BROADCAST_CALLS else long
+    short = log.join(side, "call_id", "left_anti")
+    return _gathered(short).unionByName(_summed(log.join(side, "call_id", "left_semi")))
+
+
+def _gathered(log: DataFrame) -> DataFrame:
     sent, received = _events()
     grouped = log.groupBy(*CALL_COLUMNS).agg(
         F.concat(
@@ -160,3 +190,25 @@ def sdk_operation_spans(attempts: DataFrame) -> DataFrame:
         ).alias("events")
     )
     return operation_span(grouped)
+
+
+def _summed(log: DataFrame) -> DataFrame:
+    per_call = log.groupBy(*CALL_COLUMNS).agg(
+        F.min("send_ts").alias("timestamp"),
+        F.max(F.struct("attempt_no", "recv_ts", "status")).alias("last"),
+    )
+    finished = F.col("last.recv_ts").isNotNull()
+    return _client_span(
+        per_call,
+        F.when(finished, F.col("last.recv_ts") - F.col("timestamp")),
+        F.when(finished, F.col("last.status")),
+        schema.empty_annotations(),
+    )
+
+
+def call_annotations(attempts: DataFrame) -> DataFrame:
+    """Send and receive annotations as rows: nothing is gathered, however long a call is."""
+    return call_events(attempts).select(
+        "trace_id", call_span_id().alias("id"), F.col("event.timestamp").alias("timestamp"),
+        F.when(F.col("event.phase") == 0, SENT).otherwise(RECEIVED).alias("value"),
+    )

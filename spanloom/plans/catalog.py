@@ -478,6 +478,11 @@ def sdk_operation_spans(spark, sf_dir):
     return _with_annotations(calls.sdk_operation_spans(inputs.attempts(spark, sf_dir)))
 
 
+@query
+def call_annotations(spark, sf_dir):
+    return calls.call_annotations(inputs.attempts(spark, sf_dir))
+
+
 @query
 def publish_spans(spark, sf_dir):
     return _flat(publish.publish_spans(inputs.publishes(spark, sf_dir)), "queue.url")

@@ -426,6 +426,9 @@ def oracle_sql() -> dict[str, str]:
         # logs
         "sdk_call_spans": CALL_SPANS,
         "sdk_operation_spans": OPERATION_SPANS,
+        "call_annotations": f"""with {ATTEMPTS}
+            select trace_id, call_span as id, send_ts as timestamp, 'ws' as value from a
+            union all select trace_id, call_span, recv_ts, 'wr' from a where recv_ts is not null""",
         "publish_spans": PUBLISH_SPANS,
         "publish_batch_spans": BATCH_SPANS,
         "inject_message_headers": f"""with {CONTEXTS}

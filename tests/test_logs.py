@@ -58,6 +58,23 @@ def test_new_root_gets_a_repeatable_trace(spark):
     assert first == second and len(first) == 1 and len(first.pop()) == 32
 
 
+@pytest.mark.parametrize("broadcast_limit", [100, 0])
+def test_long_calls_are_not_gathered(spark, monkeypatch, broadcast_limit):
+    monkeypatch.setattr(calls, "MAX_BROADCAST_CALLS", broadcast_limit)
+    busy = [attempt(i, 10 * i, 10 * i + 5 if i < 50 else None, 500, call="busy") for i in range(1, 51)]
+    done = [attempt(i, 10 * i, 10 * i + 5, 200, call="done") for i in range(1, 31)]
+    rows = log(spark, *busy, *done, attempt(1, 10, 30, 200, call="short"))
+    everything = {r["id"]: r.asDict(True) for r in calls.sdk_operation_spans(rows).collect()}
+    split = {r["id"]: r.asDict(True) for r in calls.sdk_operation_spans(rows, max_gathered=5).collect()}
+    notes = {}
+    for r in calls.call_annotations(rows).collect():
+        notes.setdefault(r["id"], []).append((r["timestamp"], r["value"]))
+    assert sorted(len(s["annotations"]) for s in split.values()) == [0, 0, 2]
+    for span_id, whole in everything.items():
+        assert sorted(notes[span_id]) == sorted((a["timestamp"], a["value"]) for a in whole["annotations"])
+        assert {**split[span_id], "annotations": 0} == {**whole, "annotations": 0}
+
+
 PUBLISH = (
     "batch_id string, entry_id string, queue_url string, batch_ts bigint, sent_ts bigint, "
     "local_service string, attributes map<string,string>, "
