@@ -32,16 +32,16 @@ def _operation() -> Column:
     return call_fields.operation_name(F.col("request_class"))
 
 
-def _tags(**columns: Column) -> Column:
-    """A tag map without the entries whose value is null; double underscores stand for dots."""
-    pairs = [x for k, v in columns.items() for x in (F.lit(k.replace("__", ".")), v)]
+def _tags(columns: dict[str, Column]) -> Column:
+    """A tag map without the entries whose value is null."""
+    pairs = [x for k, v in columns.items() for x in (F.lit(k), v)]
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
 
 def _status_tags(status: Column) -> dict[str, Column]:
     text = status.cast("string")
     return {
-        "http__status_code": F.when((status < 200) | (status > 299), text),
+        "http.status_code": F.when((status < 200) | (status > 299), text),
         "error": F.when(status >= 400, text),
     }
 
@@ -59,9 +59,13 @@ def call_span_id() -> Column:
     return ids.derived_id(F.lit("call"), F.col("call_id"))
 
 
-def sdk_call_spans(attempts: DataFrame) -> DataFrame:
+def sdk_call_spans(
+    attempts: DataFrame, extra_tags: dict[str, Column] | None = None
+) -> DataFrame:
     """A local span per call and a client span per attempt.
 
+    ``extra_tags`` are columns over the log that become tags of the client spans.
+
     The call level is one aggregation with partial results in every task; attempts are projected
     one by one, so a call with many attempts is never gathered anywhere.
     """
@@ -77,9 +81,9 @@ def sdk_call_spans(attempts: DataFrame) -> DataFrame:
         F.lit(LOCAL_SPAN_NAME).alias("name"),
         "timestamp",
         (F.col("last.recv_ts") - F.col("timestamp")).alias("duration"),
-        _tags(
-            aws__service_name=F.col("service"), aws__operation=operation, error=failed
-        ).alias("tags"),
+        _tags({
+            "aws.service_name": F.col("service"), "aws.operation": operation, "error": failed,
+        }).alias("tags"),
     )
     client = log.select(
         "trace_id",
@@ -90,9 +94,10 @@ def sdk_call_spans(attempts: DataFrame) -> DataFrame:
         F.col("send_ts").alias("timestamp"),
         (F.col("recv_ts") - F.col("send_ts")).alias("duration"),
         F.col("service").alias("remote_service"),
-        _tags(
-            aws__request_id=F.col("request_id"), **_status_tags(F.col("status"))
-        ).alias("tags"),
+        _tags({
+            "aws.request_id": F.col("request_id"), **_status_tags(F.col("status")),
+            **(extra_tags or {}),
+        }).alias("tags"),
     )
     return schema.conform(local).unionByName(schema.conform(client))
 
@@ -154,9 +159,10 @@ def _client_span(
         duration.alias("duration"),
         F.col("service").alias("remote_service"),
         annotations.alias("annotations"),
-        _tags(
-            aws__service_name=F.col("service"), aws__operation=operation, **_status_tags(status)
-        ).alias("tags"),
+        _tags({
+            "aws.service_name": F.col("service"), "aws.operation": operation,
+            **_status_tags(status),
+        }).alias("tags"),
     )
     return schema.conform(spans)
 

@@ -32,6 +32,11 @@ def collector_metrics(routed: DataFrame) -> DataFrame:
     return routed.groupBy("transport").agg(*counters())
 
 
+def observed(routed: DataFrame, name: str = "collector") -> DataFrame:
+    """The same rows; counters of each query or micro-batch go to its listeners."""
+    return routed.observe(name, *counters())
+
+
 def metrics_by_window(
     routed: DataFrame, time: str = "received_at", length: str = "10 minutes",
     slide: str | None = None,

@@ -595,14 +595,17 @@ def partition_key(spark, sf_dir):
 # ---------------------------------------------------------------- trace store
 
 
-def _stored(spark, sf_dir) -> DataFrame:
-    return dedup.dedup_spans(inputs.delivered_spans(spark, sf_dir))
+def _store(spark, sf_dir) -> DataFrame:
+    """The trace store: delivered spans, without duplicates, as a table."""
+    path = session.new_run_dir(spark, "store")
+    dedup.dedup_spans(inputs.delivered_spans(spark, sf_dir)).write.parquet(path)
+    return spark.read.schema(schema.SPAN).parquet(path)
 
 
 @query
 def get_traces(spark, sf_dir):
     found = store.get_traces(
-        _stored(spark, sf_dir), end_ts=END_TS, lookback=LOOKBACK, service="building",
+        _store(spark, sf_dir), end_ts=END_TS, lookback=LOOKBACK, service="building",
         tags={"http.path": None}, min_duration=1_000_000, limit=10,
     )
     return _flat(found)
@@ -610,36 +613,36 @@ def get_traces(spark, sf_dir):
 
 @query
 def get_trace(spark, sf_dir):
-    spans = inputs.delivered_spans(spark, sf_dir)
-    latest = spans.agg(F.max("trace_id")).first()[0]
-    return _flat(store.get_trace(dedup.dedup_spans(spans), latest))
+    stored = _store(spark, sf_dir)
+    latest = stored.agg(F.max("trace_id")).first()[0]
+    return _flat(store.get_trace(stored, latest))
 
 
 @query
 def get_service_names(spark, sf_dir):
-    return store.get_service_names(inputs.spans(spark, sf_dir))
+    return store.get_service_names(_store(spark, sf_dir))
 
 
 @query
 def get_span_names(spark, sf_dir):
-    return store.get_span_names(inputs.spans(spark, sf_dir), "building")
+    return store.get_span_names(_store(spark, sf_dir), "building")
 
 
 @query
 def get_dependencies(spark, sf_dir):
-    return store.get_dependencies(_stored(spark, sf_dir), END_TS, LOOKBACK)
+    return store.get_dependencies(_store(spark, sf_dir), END_TS, LOOKBACK)
 
 
 @query
 def correlate_logs(spark, sf_dir):
-    joined = store.correlate_logs(inputs.request_logs(spark, sf_dir), _stored(spark, sf_dir))
+    joined = store.correlate_logs(inputs.request_logs(spark, sf_dir), _store(spark, sf_dir))
     return joined.select("request_id", "trace_id", "state", "span_count", "first_ts")
 
 
 @query
 def untraced_requests(spark, sf_dir):
     return store.untraced_requests(
-        inputs.request_logs(spark, sf_dir), _stored(spark, sf_dir)
+        inputs.request_logs(spark, sf_dir), _store(spark, sf_dir)
     ).select("request_id", "state")
 
 
@@ -685,7 +688,7 @@ def stream_ingest_records(spark, sf_dir):
 
 @query
 def dedup_spans(spark, sf_dir):
-    return _flat(_stored(spark, sf_dir))
+    return _flat(dedup.dedup_spans(inputs.delivered_spans(spark, sf_dir)))
 
 
 @query

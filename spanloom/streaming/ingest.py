@@ -7,6 +7,8 @@ leaves no second copy.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +18,16 @@ from spanloom import schema
 from spanloom.operators import ingest
 from spanloom.operators.ingest import ACCEPTED
 
+Sampler = Callable[[DataFrame], DataFrame]
+Sink = Callable[[DataFrame, int], None]
+
 _MESSAGE_COLUMNS = ["message_id", "transport", "outcome", "delete", "payload"]
 
 
-def write_outcomes(routed: DataFrame, batch_id: int, out: str) -> None:
-    """Spans, quarantine and counters of one micro-batch.
+def write_outcomes(
+    routed: DataFrame, batch_id: int, out: str, sampler: Sampler | None = None
+) -> None:
+    """Spans (those the sampler keeps), quarantine and counters of one micro-batch.
 
     The routed batch is read three times, so it is kept on the executors meanwhile; a lost block is
     simply computed again from the source.
@@ -28,7 +35,9 @@ def write_outcomes(routed: DataFrame, batch_id: int, out: str) -> None:
     part = f"batch={batch_id}"
     routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ingest.decode_spans(routed).write.mode("overwrite").parquet(f"{out}/spans/{part}")
+        spans = ingest.decode_spans(routed)
+        kept = sampler(spans) if sampler else spans
+        kept.write.mode("overwrite").parquet(f"{out}/spans/{part}")
         rejected = routed.filter(F.col("outcome") != ACCEPTED).select(*_MESSAGE_COLUMNS)
         rejected.write.mode("overwrite").parquet(f"{out}/quarantine/{part}")
         routed.select(
@@ -39,25 +48,35 @@ def write_outcomes(routed: DataFrame, batch_id: int, out: str) -> None:
         routed.unpersist()
 
 
-def _start(routed: DataFrame, out: str, checkpoint: str, available_now: bool) -> StreamingQuery:
-    writer = routed.writeStream.foreachBatch(
-        lambda batch, batch_id: write_outcomes(batch, batch_id, out)
-    ).option("checkpointLocation", checkpoint)
+def folder_sink(out: str, sampler: Sampler | None = None) -> Sink:
+    """Parquet folders under ``out``."""
+    return lambda batch, batch_id: write_outcomes(batch, batch_id, out, sampler)
+
+
+def run(
+    routed: DataFrame, sink: Sink, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Hand every routed micro-batch to a sink; one that raises is handed over again on restart."""
+    writer = routed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def stream_ingest(
-    messages: DataFrame, out: str, checkpoint: str, available_now: bool = False
+    messages: DataFrame, out: str, checkpoint: str, available_now: bool = False,
+    sampler: Sampler | None = None,
 ) -> StreamingQuery:
     """Queue messages to stored spans, quarantine and outcomes."""
-    return _start(ingest.ingest_messages(messages), out, checkpoint, available_now)
+    sink = folder_sink(out, sampler)
+    return run(ingest.ingest_messages(messages), sink, checkpoint, available_now)
 
 
 def stream_ingest_records(
-    records: DataFrame, out: str, checkpoint: str, available_now: bool = False
+    records: DataFrame, out: str, checkpoint: str, available_now: bool = False,
+    sampler: Sampler | None = None,
 ) -> StreamingQuery:
     """Stream records likewise; what fails is counted and quarantined, not retried."""
-    return _start(ingest.ingest_records(records), out, checkpoint, available_now)
+    sink = folder_sink(out, sampler)
+    return run(ingest.ingest_records(records), sink, checkpoint, available_now)
 
 
 def stored_spans(spark: SparkSession, out: str) -> DataFrame:

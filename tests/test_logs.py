@@ -45,6 +45,13 @@ def test_failed_call_marks_both_spans(spark):
     assert {s["tags"].get("error") for s in spans} == {"503"}
 
 
+def test_extra_tags_reach_the_client_span(spark):
+    spans = calls.sdk_call_spans(
+        log(spark, attempt(1, 10, 30, 200)), {"region": F.lit("eu"), "none": F.lit(None).cast("string")})
+    assert {s["name"]: s["tags"].get("region") for s in spans.collect()} == {"aws-sdk": None, "DeleteItem": "eu"}
+    assert not spans.filter("map_contains_key(tags, 'none')").count()
+
+
 def test_unfinished_call_has_no_duration(spark):
     rows = log(spark, attempt(1, 10, 30, 500), attempt(2, 40, None, None))
     assert calls.sdk_operation_spans(rows).first()["duration"] is None

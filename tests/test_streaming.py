@@ -109,6 +109,40 @@ def test_calls_are_paired_across_micro_batches(spark, run_dir):
     assert [n["value"] for n in b["annotations"]] == ["ws"] and b["duration"] is None
 
 
+def test_sampler_own_sink_and_counters(spark, sf_dir, run_dir):
+    source = inputs.queue_messages(spark, sf_dir)
+    sinks.write_queue_messages(source, f"{run_dir}/in")
+    stream = readers.stream_queue_messages(spark, f"{run_dir}/in")
+    jobs.stream_ingest(
+        stream, f"{run_dir}/out", f"{run_dir}/cp", True, lambda spans: ingest.sample_traces(spans, 0.5)
+    ).awaitTermination()
+    expected = ingest.sample_traces(ingest.decode_spans(ingest.ingest_messages(source)), 0.5)
+    assert rows(jobs.stored_spans(spark, f"{run_dir}/out")) == rows(expected)
+
+    seen = []
+    routed = metrics.observed(ingest.ingest_messages(stream))
+    query = jobs.run(routed, lambda batch, n: seen.append(batch.count()), f"{run_dir}/cp2", True)
+    query.awaitTermination()
+    assert sum(seen) == source.count()
+    total = metrics.collector_metrics(ingest.ingest_messages(source)).agg(F.sum("messages")).first()[0]
+    assert sum(p["observedMetrics"]["collector"]["messages"] for p in query.recentProgress if p["observedMetrics"]) == total
+
+
+def test_failed_sink_is_retried_from_the_checkpoint(spark, run_dir):
+    body = json.dumps([{"traceId": "1", "id": "2"}])
+    sinks.write_queue_messages(
+        spark.createDataFrame([("1", "r", "sqs", body, None)], schema.QUEUE_MESSAGE), f"{run_dir}/in")
+    routed = ingest.ingest_messages(readers.stream_queue_messages(spark, f"{run_dir}/in"))
+
+    def down(batch, batch_id):
+        raise OSError("storage is down")
+
+    with pytest.raises(Exception):
+        jobs.run(routed, down, f"{run_dir}/cp", True).awaitTermination()
+    jobs.run(routed, jobs.folder_sink(f"{run_dir}/out"), f"{run_dir}/cp", True).awaitTermination()
+    assert jobs.stored_spans(spark, f"{run_dir}/out").count() == 1
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.new_run_dir(spark, "x") != session.new_run_dir(spark, "x")
