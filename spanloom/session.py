@@ -14,6 +14,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # message bodies must not contain line breaks
     "spark.sql.chunkBase64String.enabled": "false",
+    # state of streaming jobs lives on disk and not in executor memory
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
