@@ -14,7 +14,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # message bodies must not contain line breaks
     "spark.sql.chunkBase64String.enabled": "false",
-    # state of streaming jobs lives on disk and not in executor memory
+}
+
+# On a cluster, state of streaming jobs lives on disk and not in executor memory.
+CLUSTER_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -23,11 +26,16 @@ RUNTIME_SETTINGS = {
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings every operator relies on to a session somebody else made."""
-    for key, value in RUNTIME_SETTINGS.items():
+    settings = RUNTIME_SETTINGS if is_local(spark) else {**RUNTIME_SETTINGS, **CLUSTER_SETTINGS}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def local_session(cores: int | str = "*", name: str = "spanloom", **extra: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
@@ -56,7 +64,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if is_local(spark):
         return tempfile.mkdtemp(prefix="spanloom-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 

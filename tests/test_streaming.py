@@ -67,7 +67,17 @@ def test_windowed_metrics_equal_batch_for_closed_windows(spark, sf_dir, run_dir)
     assert rows(spark.read.parquet(f"{run_dir}/out").select(batch.columns)) == rows(closed)
 
 
-def test_redelivered_spans_are_dropped(spark, run_dir):
+@pytest.fixture(params=[{}, session.CLUSTER_SETTINGS], ids=["memory", "cluster"])
+def state_settings(spark, request):
+    before = {k: spark.conf.get(k) for k in request.param}
+    for k, v in request.param.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_redelivered_spans_are_dropped(spark, run_dir, state_settings):
     body = json.dumps([{"traceId": "1", "id": "2", "timestamp": 5, "tags": {"a": "b"}}])
     other = json.dumps([{"traceId": "1", "id": "2", "timestamp": 5, "tags": {"a": "c"}}])
     sinks.write_queue_messages(spark.createDataFrame(
