@@ -29,6 +29,15 @@ def test_encoding_and_decoding_match_the_library(library):
         assert ids.tolist() == library.encode(text, add_bos=True, add_eos=True)
 
 
+def test_rows_of_words_are_encoded_like_single_words():
+    vocabulary = pieces.Vocabulary(catalog.vocabulary_path())
+    rng = random.Random(9)
+    words = ["▁" + "".join(rng.choice("abeinrst▁é\n.,漢🙂") for _ in range(rng.randrange(70))) for _ in range(3000)]
+    words += ["▁" * n for n in range(1, 60)]
+    for word, ids in zip(words, vocabulary.encode_words(words), strict=True):
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == vocabulary.encode_word(word)
+
+
 def _expected(library, i, text):
     ids = library.encode(text or "", add_bos=True, add_eos=True)
     raw = b"".join(struct.pack("<I", x) for x in ids)
