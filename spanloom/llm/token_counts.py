@@ -51,26 +51,27 @@ class Trie:
 
     def insert(self, word: str) -> int:
         """Number of tokens of a pre-token; forward scores are computed for new nodes only."""
-        scores, longest = self.unigram.scores, self.unigram.longest
+        scores, longest = self.unigram.scores.get, self.unigram.longest
+        children, bests, counts = self.children, self.best, self.tokens
         node, path = 0, [0]
         for depth, char in enumerate(word, 1):
-            following = self.children[node].get(char)
+            following = children[node].get(char)
             if following is None:
-                missing = len(char.encode("utf-8", "replace"))
-                best = self.best[node] + self.unigram.unknown
-                tokens = self.tokens[node] + missing
-                for start in range(max(0, depth - longest), depth):
-                    piece = scores.get(word[start:depth])
+                best = bests[node] + self.unigram.unknown
+                tokens = counts[node] + (1 if char < "\x80" else len(char.encode("utf-8", "replace")))
+                for start in range(depth - longest if depth > longest else 0, depth):
+                    piece = scores(word[start:depth])
                     if piece is not None:
-                        score = self.best[path[start]] + piece
-                        count = self.tokens[path[start]] + 1
+                        before = path[start]
+                        score = bests[before] + piece
+                        count = counts[before] + 1
                         if score > best or score == best and count < tokens:
                             best, tokens = score, count
-                following = len(self.children)
-                self.children[node][char] = following
-                self.children.append({})
-                self.best.append(best)
-                self.tokens.append(tokens)
+                following = len(children)
+                children[node][char] = following
+                children.append({})
+                bests.append(best)
+                counts.append(tokens)
             node = following
             path.append(node)
         self.terminal[word] = self.tokens[node]
