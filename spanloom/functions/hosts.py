@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 DOMAIN_URL = r"(?i)^https://[^.]+\.([^.]+)\.es\.amazonaws\.com"
-MAX_PARTS = 100
 
 
 def region_from_hosts(hosts: Column) -> Column:
@@ -17,7 +16,7 @@ def region_from_hosts(hosts: Column) -> Column:
     it names the same region, and so is any other URL after a domain URL.
     """
     regions = F.transform(
-        F.split(hosts, ",", MAX_PARTS), lambda url: F.regexp_extract(url, DOMAIN_URL, 1)
+        F.split(hosts, ",", -1), lambda url: F.regexp_extract(url, DOMAIN_URL, 1)
     )
     first = F.array_position(F.transform(regions, lambda r: r != ""), True)
     after = F.get(regions, first.cast("int"))

@@ -95,15 +95,16 @@ def message_spans(located: DataFrame) -> DataFrame:
 
 
 def publish_spans(messages: DataFrame) -> DataFrame:
-    return message_spans(publish_contexts(messages))
+    """Spans of the sampled messages; headers are injected into the others as well."""
+    return message_spans(publish_contexts(messages).filter("sampled"))
 
 
 def publish_batch_spans(messages: DataFrame, legacy: bool = False) -> DataFrame:
-    """A span per batch above the spans of its messages.
+    """A span per sampled batch above the spans of its messages.
 
     ``legacy`` leaves the kind of the batch span open, as the older instrumentation does.
     """
-    located = batch_contexts(messages)
+    located = batch_contexts(messages).filter("sampled")
     per_batch = located.groupBy(
         "batch_id", "batch_ts", "local_service",
         F.col("context.trace_id").alias("trace_id"),

@@ -149,5 +149,15 @@ def correlate_logs(logs: DataFrame, spans: DataFrame, header: str = "header") ->
 
 
 def untraced_requests(logs: DataFrame, spans: DataFrame, header: str = "header") -> DataFrame:
-    """Requests whose trace is not in the store."""
-    return correlate_logs(logs, spans, header).filter(F.col("state") != "traced")
+    """Requests whose trace is not in the store: an anti-join on trace IDs, no counts.
+
+    Requests without a usable root stay out of the join.
+    """
+    rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
+    known = spans.select(F.col("trace_id").alias("_known"))
+    missing = rooted.filter(F.col("trace_id").isNotNull()).join(
+        known, F.col("trace_id") == F.col("_known"), "left_anti"
+    )
+    return missing.withColumn("state", F.lit("unknown_trace")).unionByName(
+        rooted.filter(F.col("trace_id").isNull()).withColumn("state", F.lit("untraced"))
+    )

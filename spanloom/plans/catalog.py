@@ -257,7 +257,7 @@ def sample_traces(spark, sf_dir):
 @query
 def encode_body(spark, sf_dir):
     """Event lists and, being rich in accents, whole document texts as message bodies."""
-    texts = inputs.main_table(spark, sf_dir, "documents").select(
+    texts = inputs.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("key"), F.col("text")
     )
     return texts.select("key", F.md5(payload.encode_body(F.col("text"))).alias("body_md5"))
@@ -397,7 +397,7 @@ def classify_trace_context(spark, sf_dir):
 def format_trace_header(spark, sf_dir):
     spans = segments.require_128bit_trace_id(inputs.spans(spark, sf_dir))
     sampled = F.when(F.col("duration").isNotNull(), F.col("duration") % 2 == 0)
-    custom = F.when(F.col("kind").isNull(), F.lit(";CustomField=Foo-Bar"))
+    custom = F.when(F.col("kind").isNull(), F.lit(";Tenant=north-7"))
     header = headers.format_trace_header(F.col("trace_id"), F.col("id"), sampled, custom)
     return spans.select("trace_id", "id", header.alias("header"))
 
@@ -424,7 +424,7 @@ def root_epoch(spark, sf_dir):
 
 @query
 def hex_id(spark, sf_dir):
-    events = inputs.main_table(spark, sf_dir, "events")
+    events = inputs.table(spark, sf_dir, "events")
     return events.select("event_id", ids.hex_id(F.col("event_id") * 1_000_003).alias("hex"))
 
 
@@ -589,7 +589,7 @@ def pack_spans(spark, sf_dir):
 def partition_key(spark, sf_dir):
     host = F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("host-"), F.col("user_id").cast("string")))
     key = packing.partition_key(host, F.concat(F.lit("producer-"), F.col("user_id").cast("string")))
-    return inputs.main_table(spark, sf_dir, "events").select("event_id", key.alias("partition_key"))
+    return inputs.table(spark, sf_dir, "events").select("event_id", key.alias("partition_key"))
 
 
 # ---------------------------------------------------------------- trace store

@@ -27,18 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def main_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that leads a query, spread over all cores when it comes as too few splits.
-
-    A file of one row group is one task however long the work on it takes.  Tables of a size that
-    matters have more splits than cores and are left as they are.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() * 2 <= cores
-    return df.repartition(cores, *ROW_KEYS[name]) if few else df
-
-
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a stream.
 
@@ -137,7 +125,7 @@ ALL_TAGS = [*ROOT_TAGS, *CHILD_TAGS]
 
 
 def _join(spark: SparkSession, sf_dir: str, tables) -> DataFrame:
-    joined = main_table(spark, sf_dir, tables[0][0])
+    joined = table(spark, sf_dir, tables[0][0])
     for name, condition in tables[1:]:
         joined = joined.join(table(spark, sf_dir, name), F.expr(condition))
     return joined
@@ -212,7 +200,7 @@ def _partly_bad_text(d) -> str:
     return f"""'[{{"traceId":"zz"}},' || {_span_text(d, 'event_type')} || ']'"""
 
 
-BAD_LIST = "'[not going to work]'"
+BAD_LIST = "'[this is no span list'"
 TRANSPORT = "case when user_id % 2 = 0 then 'sqs' else 'kinesis' end"
 
 
@@ -253,11 +241,11 @@ def records(events: DataFrame) -> DataFrame:
 
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages(main_table(spark, sf_dir, "events"))
+    return messages(table(spark, sf_dir, "events"))
 
 
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records(main_table(spark, sf_dir, "events"))
+    return records(table(spark, sf_dir, "events"))
 
 
 def _sql(columns: Columns, source: str) -> str:
@@ -310,7 +298,7 @@ def v1_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("transport", TRANSPORT), ("body", _v1_text(SPARK)),
         ("received_at", SPARK.timestamp("ts")),
     ]
-    return _project(main_table(spark, sf_dir, "events"), columns)
+    return _project(table(spark, sf_dir, "events"), columns)
 
 
 # ---------------------------------------------------------------- headers
@@ -328,7 +316,7 @@ def header_columns(d) -> Columns:
          f"case c_custkey % 8 when 0 then {root} || ';Parent=' || {p} || ';Sampled=1' "
          f"when 1 then 'Sampled=0;Parent=' || {p} || ';' || {root} "
          f"when 2 then {root} || ';Sampled=?' "
-         f"when 3 then 'Robot=Hello;Self=1-582113d1-1e48b74b3603af8479078ed6;  ' || {root} "
+         f"when 3 then 'Robot=Hello;Self=1-65f0c2aa-0b1c2d3e4f5061728394a5b6;  ' || {root} "
          f"|| ';  CalledFrom=<segment>' "
          f"when 4 then 'Root=2-' || {r1} || '-' || {r2} "
          f"when 5 then 'Sampled=1;Root=1-' || {r1} || '-' || substr({r2}, 2) "

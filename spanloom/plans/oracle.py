@@ -273,7 +273,8 @@ contexts as (
 PUBLISH_FLAT = """'PRODUCER' as kind, 'publish' as name, sent_ts as timestamp, 0::bigint as duration,
   local_service, 'amazon-sqs' as remote_service, queue_url"""
 PUBLISH_SPANS = f"""with {CONTEXTS}
-select trace_id, parent_id, span_id as id, {PUBLISH_FLAT} from contexts"""
+select trace_id, parent_id, span_id as id, {PUBLISH_FLAT} from contexts
+where coalesce(sampled, true)"""
 BATCH_TRACE = f"""coalesce(scope_trace_id, {_HEX_SECONDS.format("batch_ts")} || substr(md5('batch:' || batch_id), 1, 24))"""
 BATCH_ID = "substr(md5('batch:' || batch_id), 1, 16)"
 BATCH_SPANS = f"""with {PUBLISHES}
@@ -404,7 +405,7 @@ def oracle_sql() -> dict[str, str]:
         "format_trace_header": _spans(f"""
             select trace_id, id, 'Root=' || {TRACE_ID} || ';Parent=' || id || ';Sampled='
               || case when duration is null then '?' when duration % 2 = 0 then '1' else '0' end
-              || case when kind is null then ';CustomField=Foo-Bar' else '' end as header
+              || case when kind is null then ';Tenant=north-7' else '' end as header
             from spans where length(trace_id) = 32"""),
         "format_root_id": _spans(f"select id, {TRACE_ID} as root from spans where length(trace_id) = 32"),
         "root_from_passthrough": f"""with {PARSED} select request_key,

@@ -33,7 +33,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process holds driver and executors; ``local-cluster`` is a cluster."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def local_session(cores: int | str = "*", name: str = "spanloom", **extra: str) -> SparkSession:

@@ -22,6 +22,7 @@ Sampler = Callable[[DataFrame], DataFrame]
 Sink = Callable[[DataFrame, int], None]
 
 _MESSAGE_COLUMNS = ["message_id", "transport", "outcome", "delete", "payload"]
+_AS_RECEIVED = ["body", "receipt_handle"]
 
 
 def write_outcomes(
@@ -38,7 +39,9 @@ def write_outcomes(
         spans = ingest.decode_spans(routed)
         kept = sampler(spans) if sampler else spans
         kept.write.mode("overwrite").parquet(f"{out}/spans/{part}")
-        rejected = routed.filter(F.col("outcome") != ACCEPTED).select(*_MESSAGE_COLUMNS)
+        # a body that could not be unwrapped has no payload; it is kept as it came
+        found = [*_MESSAGE_COLUMNS, *(c for c in _AS_RECEIVED if c in routed.columns)]
+        rejected = routed.filter(F.col("outcome") != ACCEPTED).select(*found)
         rejected.write.mode("overwrite").parquet(f"{out}/quarantine/{part}")
         routed.select(
             "transport", "received_at", "outcome", "counted",

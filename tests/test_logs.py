@@ -17,16 +17,16 @@ def log(spark, *rows):
 
 
 def attempt(no, send, recv, status, request_id=None, call="c1", trace="t" * 32, parent="p" * 16):
-    return (call, no, "AmazonDynamoDBv2", "DeleteItemRequest", trace, parent, send, recv, status, request_id)
+    return (call, no, "StockTableV3", "CountShelvesRequest", trace, parent, send, recv, status, request_id)
 
 
 def test_one_attempt(spark):
     spans = {r["name"]: r for r in calls.sdk_call_spans(log(spark, attempt(1, 10, 30, 200, "abcd"))).collect()}
-    local, client = spans["aws-sdk"], spans["DeleteItem"]
-    assert client["kind"] == "CLIENT" and client["remote_service"] == "AmazonDynamoDBv2"
+    local, client = spans["aws-sdk"], spans["CountShelves"]
+    assert client["kind"] == "CLIENT" and client["remote_service"] == "StockTableV3"
     assert client["tags"] == {"aws.request_id": "abcd"} and client["parent_id"] == local["id"]
     assert local["kind"] is None and local["parent_id"] == "p" * 16
-    assert local["tags"] == {"aws.service_name": "AmazonDynamoDBv2", "aws.operation": "DeleteItem"}
+    assert local["tags"] == {"aws.service_name": "StockTableV3", "aws.operation": "CountShelves"}
     assert (local["timestamp"], local["duration"]) == (10, 20)
 
 
@@ -48,7 +48,7 @@ def test_failed_call_marks_both_spans(spark):
 def test_extra_tags_reach_the_client_span(spark):
     spans = calls.sdk_call_spans(
         log(spark, attempt(1, 10, 30, 200)), {"region": F.lit("eu"), "none": F.lit(None).cast("string")})
-    assert {s["name"]: s["tags"].get("region") for s in spans.collect()} == {"aws-sdk": None, "DeleteItem": "eu"}
+    assert {s["name"]: s["tags"].get("region") for s in spans.collect()} == {"aws-sdk": None, "CountShelves": "eu"}
     assert not spans.filter("map_contains_key(tags, 'none')").count()
 
 
@@ -152,8 +152,8 @@ def test_call_fields(spark):
     )
 
 
-AWS = "https://search-domain-xyzzy.us-west-2.es.amazonaws.com"
-OTHER = "https://localhost:9200"
+AWS = "https://search-shelves-q7.us-west-2.es.amazonaws.com"
+OTHER = "https://plain.example:9200"
 
 
 @pytest.mark.parametrize("hosts_text, region, status", [
@@ -170,3 +170,11 @@ def test_region(spark, hosts_text, region, status):
 def test_log_columns_cover_the_span_schema(spark):
     spans = calls.sdk_operation_spans(log(spark, attempt(1, 10, 30, 200)))
     assert spans.columns == list(schema.SPAN_FIELDS)
+
+
+def test_a_conflict_far_down_the_host_list_is_found(spark):
+    plain = ",".join(f"host{i}" for i in range(150))
+    other = AWS.replace("us-west-2", "eu-west-1")
+    df = spark.createDataFrame([(f"{plain},{AWS},{other}",), (f"{plain},{AWS}",)], "h string")
+    found = [r.s for r in df.select(hosts.region_from_hosts(F.col("h"))["status"].alias("s")).collect()]
+    assert found == ["too many regions", "ok"]

@@ -5,9 +5,10 @@ import importlib
 import pytest
 
 import checker
+from spanloom.plans import catalog, oracle
 
 entry = importlib.import_module("__spark_entry__")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
