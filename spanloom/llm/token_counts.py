@@ -18,6 +18,8 @@ from spanloom.llm.common import Batches, map_rows, strings
 SPACE = "▁"
 #: A piece missing from the vocabulary costs this much more than the worst piece, per character.
 UNKNOWN_MARGIN = 10.0
+#: Characters at the end of a text that tell how long the pieces ending there can be.
+TAIL = 3
 #: Trie nodes that a task keeps; beyond that it starts afresh.
 NODES = 400_000
 
@@ -34,7 +36,13 @@ class Unigram:
             for i in range(library.vocab_size())
             if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))
         }
-        self.longest = max(map(len, self.scores), default=1)
+        #: by the last characters of a text, the lengths that a piece ending there can have, rising
+        sizes: dict[str, set[int]] = {}
+        for piece in self.scores:
+            if len(piece) >= TAIL:
+                sizes.setdefault(piece[-TAIL:], set()).add(len(piece))
+        self.short = tuple(range(1, TAIL))
+        self.sizes = {tail: (*self.short, *sorted(found)) for tail, found in sizes.items()}
         self.unknown = min(self.scores.values(), default=0.0) - UNKNOWN_MARGIN
 
 
@@ -51,7 +59,7 @@ class Trie:
 
     def insert(self, word: str) -> int:
         """Number of tokens of a pre-token; forward scores are computed for new nodes only."""
-        scores, longest = self.unigram.scores.get, self.unigram.longest
+        scores, sizes, short = self.unigram.scores.get, self.unigram.sizes.get, self.unigram.short
         children, bests, counts = self.children, self.best, self.tokens
         node, path = 0, [0]
         for depth, char in enumerate(word, 1):
@@ -59,7 +67,10 @@ class Trie:
             if following is None:
                 best = bests[node] + self.unigram.unknown
                 tokens = counts[node] + (1 if char < "\x80" else len(char.encode("utf-8", "replace")))
-                for start in range(depth - longest if depth > longest else 0, depth):
+                for size in sizes(word[depth - TAIL if depth > TAIL else 0:depth], short):
+                    start = depth - size
+                    if start < 0:
+                        break
                     piece = scores(word[start:depth])
                     if piece is not None:
                         before = path[start]
