@@ -2,7 +2,8 @@
 
 The log has one row per attempt: ``call_id``, ``attempt_no`` (rising within a call), ``service``,
 ``request_class``, ``trace_id``/``parent_id`` (the caller's context, null for a new root),
-``send_ts``, ``recv_ts``, ``status``, ``request_id``.
+``send_ts``, ``recv_ts``, ``status``, ``request_id``; optionally ``error``, what the SDK reported, with
+``has_cause``, ``is_service_error`` and ``error_message``.
 """
 
 from __future__ import annotations
@@ -18,10 +19,6 @@ from spanloom.functions import ids
 LOCAL_SPAN_NAME = "aws-sdk"
 SENT, RECEIVED = "ws", "wr"
 
-# Calls with more attempts than this are not gathered into one row.
-MAX_GATHERED = 10_000
-MAX_BROADCAST_CALLS = 100_000
-
 # The same for all attempts of a call; grouping by them spares an aggregate over text.
 CALL_COLUMNS = ["call_id", "service", "request_class", "trace_id", "parent_id"]
 
@@ -38,14 +35,27 @@ def _tags(columns: dict[str, Column]) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
 
-def _status_tags(status: Column) -> dict[str, Column]:
+def _status_tags(status: Column, error: Column) -> dict[str, Column]:
+    """What was reported as an error, such as a lost connection, says more than the status."""
     text = status.cast("string")
     return {
         "http.status_code": F.when((status < 200) | (status > 299), text),
-        "error": F.when(status >= 400, text),
+        "error": F.coalesce(error, F.when(status >= 400, text)),
     }
 
 
+def _error(log: DataFrame) -> Column:
+    return F.col("error") if "error" in log.columns else F.lit(None).cast("string")
+
+
+def _real_error(log: DataFrame) -> Column:
+    """Without what only repeats a status, where the log tells."""
+    facts = ["has_cause", "is_service_error", "error_message"]
+    if not set(facts) <= set(log.columns):
+        return _error(log)
+    return call_fields.keep_real_error(_error(log), *map(F.col, facts))
+
+
 def with_call_context(attempts: DataFrame) -> DataFrame:
     """Give calls without a caller their own trace, derived so that runs repeat."""
     fresh = ids.derived_trace_id(F.lit(0).cast("bigint"), F.lit("call"), F.col("call_id"))
@@ -71,9 +81,10 @@ def sdk_call_spans(
     """
     log = with_call_context(attempts)
     operation = _operation()
-    last = F.max(F.struct("attempt_no", "recv_ts", "status"))
+    error = _error(log)
+    last = F.max(F.struct("attempt_no", "recv_ts", "status", error.alias("error")))
     per_call = log.groupBy(*CALL_COLUMNS).agg(F.min("send_ts").alias("timestamp"), last.alias("last"))
-    failed = F.when(F.col("last.status") >= 400, F.col("last.status").cast("string"))
+    failed = _status_tags(F.col("last.status"), F.col("last.error"))["error"]
     local = per_call.select(
         "trace_id",
         "parent_id",
@@ -95,7 +106,7 @@ def sdk_call_spans(
         (F.col("recv_ts") - F.col("send_ts")).alias("duration"),
         F.col("service").alias("remote_service"),
         _tags({
-            "aws.request_id": F.col("request_id"), **_status_tags(F.col("status")),
+            "aws.request_id": F.col("request_id"), **_status_tags(F.col("status"), error),
             **(extra_tags or {}),
         }).alias("tags"),
     )
@@ -115,38 +126,23 @@ def call_events(attempts: DataFrame) -> DataFrame:
     return with_call_context(attempts).select(*CALL_COLUMNS, F.explode(events).alias("event"))
 
 
-def operation_span(grouped: DataFrame) -> DataFrame:
-    """Client spans from call columns plus ``events``, the gathered events of one call."""
-    ordered = grouped.withColumn("events", F.sort_array("events"))
-    first = F.get("events", 0)
-    last = F.array_max(
-        F.transform(
-            "events",
-            lambda e: F.struct(
-                e["attempt_no"].alias("attempt_no"), e["phase"].alias("phase"),
-                e["timestamp"].alias("timestamp"), e["status"].alias("status"),
-            ),
-        )
+def event_spans(events: DataFrame, *more_keys: Column) -> DataFrame:
+    """Client spans from send and receive events, one per call (and value of ``more_keys``).
+
+    Only partial aggregates move: the first time and the last event.
+    """
+    last = F.struct("event.attempt_no", "event.phase", "event.timestamp", "event.status")
+    per_call = events.groupBy(*more_keys, *CALL_COLUMNS).agg(
+        F.min("event.timestamp").alias("timestamp"), F.max(last).alias("last")
     )
-    shaped = ordered.withColumn("first", first).withColumn("last", last)
     finished = F.col("last.phase") == 1
-    notes = F.transform(
-        "events",
-        lambda e: F.struct(
-            e["timestamp"].alias("timestamp"),
-            F.when(e["phase"] == 0, SENT).otherwise(RECEIVED).alias("value"),
-        ),
-    )
-    return _client_span(
-        shaped.withColumn("timestamp", F.col("first.timestamp")),
-        F.when(finished, F.col("last.timestamp") - F.col("first.timestamp")),
-        F.when(finished, F.col("last.status")),
-        notes,
-    )
+    status = F.when(finished, F.col("last.status"))
+    duration = F.when(finished, F.col("last.timestamp") - F.col("timestamp"))
+    return _client_span(per_call, duration, status, F.lit(None).cast("string"))
 
 
 def _client_span(
-    per_call: DataFrame, duration: Column, status: Column, annotations: Column
+    per_call: DataFrame, duration: Column, status: Column, error: Column
 ) -> DataFrame:
     operation = _operation()
     spans = per_call.select(
@@ -158,57 +154,32 @@ def _client_span(
         "timestamp",
         duration.alias("duration"),
         F.col("service").alias("remote_service"),
-        annotations.alias("annotations"),
+        schema.empty_annotations().alias("annotations"),
         _tags({
             "aws.service_name": F.col("service"), "aws.operation": operation,
-            **_status_tags(status),
+            **_status_tags(status, error),
         }).alias("tags"),
     )
     return schema.conform(spans)
 
 
-def sdk_operation_spans(attempts: DataFrame, max_gathered: int = MAX_GATHERED) -> DataFrame:
-    """One client span per call; retries show as repeated send and receive annotations.
+def sdk_operation_spans(attempts: DataFrame) -> DataFrame:
+    """One client span per call, from partial aggregates whatever its number of attempts.
 
-    Annotations are part of the span row, so only calls of up to ``max_gathered`` attempts are
-    gathered.  A longer call gives the same row from partial aggregates, without annotations: those
-    are the rows of ``call_annotations``.
+    Retries show as repeated send and receive annotations: the rows of ``call_annotations`` with the
+    trace ID and ID of the span.
     """
     log = with_call_context(attempts)
-    long = (
-        log.groupBy("call_id").count().filter(F.col("count") > max_gathered)
-        # a key of its own, so that the joins below start from a shuffle and skew is split
-        .select(F.substring("call_id", F.lit(1), F.length("call_id")).alias("call_id"))
-    )
-    found = long.limit(MAX_BROADCAST_CALLS + 1).count()
-    if found == 0:
-        return _gathered(log)
-    side = F.broadcast(long) if found <= MAX_BROADCAST_CALLS else long
-    short = log.join(side, "call_id", "left_anti")
-    return _gathered(short).unionByName(_summed(log.join(side, "call_id", "left_semi")))
-
-
-def _gathered(log: DataFrame) -> DataFrame:
-    sent, received = _events()
-    grouped = log.groupBy(*CALL_COLUMNS).agg(
-        F.concat(
-            F.collect_list(sent), F.collect_list(F.when(F.col("recv_ts").isNotNull(), received))
-        ).alias("events")
-    )
-    return operation_span(grouped)
-
-
-def _summed(log: DataFrame) -> DataFrame:
     per_call = log.groupBy(*CALL_COLUMNS).agg(
         F.min("send_ts").alias("timestamp"),
-        F.max(F.struct("attempt_no", "recv_ts", "status")).alias("last"),
+        F.max(F.struct("attempt_no", "recv_ts", "status", _real_error(log).alias("error"))).alias("last"),
     )
     finished = F.col("last.recv_ts").isNotNull()
     return _client_span(
         per_call,
         F.when(finished, F.col("last.recv_ts") - F.col("timestamp")),
         F.when(finished, F.col("last.status")),
-        schema.empty_annotations(),
+        F.col("last.error"),
     )
 
 

@@ -15,6 +15,7 @@ from spanloom.operators import (
     calls, dedup, ingest, metrics, packing, publish, segments, store,
 )
 from spanloom.plans import inputs
+from spanloom.plans.dialect import SPARK
 from spanloom.sources import readers, sinks
 from spanloom.streaming import ingest as stream_jobs
 from spanloom.streaming import state
@@ -110,12 +111,14 @@ def read_all_spans(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir) -> DataFrame:
-    """Encoded spans, staged: packing reads their sizes first and the whole rows afterwards."""
-    unique = dedup.dedup_spans(inputs.spans(spark, sf_dir).drop("tags"))
-    untagged = schema.conform(unique.withColumn("tags", schema.empty_tags()))
+    """Encoded spans, staged: packing reads their sizes first and the whole rows afterwards.
+
+    Of differing reports of a span the first one as text is packed.
+    """
     key = packing.partition_key(F.col("local_service"), F.col("trace_id"))
     path = session.new_run_dir(spark, "encoded")
-    packing.encode_spans(untagged, key).write.parquet(path)
+    encoded = packing.encode_spans(inputs.spans(spark, sf_dir), key)
+    dedup.keep_first(encoded, dedup.SPAN_KEY, [F.col("json")]).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -260,7 +263,10 @@ def encode_body(spark, sf_dir):
     texts = inputs.table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("key"), F.col("text")
     )
-    return texts.select("key", F.md5(payload.encode_body(F.col("text"))).alias("body_md5"))
+    events = inputs.table(spark, sf_dir, "events").select(
+        F.expr("'e' || event_id").alias("key"), F.expr(inputs.list_text(SPARK)).alias("text")
+    )
+    return texts.unionByName(events).select("key", F.md5(payload.encode_body(F.col("text"))).alias("body_md5"))
 
 
 @query
@@ -417,7 +423,7 @@ def root_from_passthrough(spark, sf_dir):
 
 @query
 def root_epoch(spark, sf_dir):
-    spans = segments.require_128bit_trace_id(inputs.root_spans(spark, sf_dir))
+    spans = segments.require_128bit_trace_id(inputs.spans(spark, sf_dir))
     epoch = F.unix_seconds(headers.root_epoch(F.col("trace_id")))
     return spans.select("trace_id", epoch.alias("epoch_seconds"))
 
@@ -462,20 +468,13 @@ def sdk_call_spans(spark, sf_dir):
     return _flat(calls.sdk_call_spans(inputs.attempts(spark, sf_dir)), *_CALL_TAGS)
 
 
-def _with_annotations(spans: DataFrame) -> DataFrame:
-    notes = F.array_join(
-        F.transform(
-            "annotations", lambda a: F.concat_ws("=", a["value"], a["timestamp"].cast("string"))
-        ), ",",
-    )
-    flat = _flat(spans.withColumn("tags", F.map_concat(
-        "tags", F.create_map(F.lit("notes"), notes))), *_CALL_TAGS, "notes")
-    return flat.drop("aws_request_id")
+def _operation_flat(spans: DataFrame) -> DataFrame:
+    return _flat(spans, *_CALL_TAGS).drop("aws_request_id")
 
 
 @query
 def sdk_operation_spans(spark, sf_dir):
-    return _with_annotations(calls.sdk_operation_spans(inputs.attempts(spark, sf_dir)))
+    return _operation_flat(calls.sdk_operation_spans(inputs.attempts(spark, sf_dir)))
 
 
 @query
@@ -724,9 +723,9 @@ def metrics_by_window_stream(spark, sf_dir):
 
 @query
 def pair_call_events(spark, sf_dir):
-    """Events of the whole call log, paired as on a stream once all sessions have closed."""
+    """Events of the whole call log."""
     events = calls.call_events(inputs.attempts(spark, sf_dir))
-    return _with_annotations(state.pair_call_events(events))
+    return _operation_flat(state.pair_call_events(events))
 
 
 @query
@@ -736,7 +735,7 @@ def pair_call_events_stream(spark, sf_dir):
     events = calls.call_events(inputs.stream_attempts(spark, sf_dir))
     paired = state.pair_call_events(events)
     state.append_to(paired, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
-    return _with_annotations(spark.read.parquet(f"{run}/out"))
+    return _operation_flat(spark.read.parquet(f"{run}/out"))
 
 
 @query

@@ -200,6 +200,11 @@ def _partly_bad_text(d) -> str:
     return f"""'[{{"traceId":"zz"}},' || {_span_text(d, 'event_type')} || ']'"""
 
 
+def list_text(d) -> str:
+    """The list of every event, some with an accent."""
+    return f"case when event_id % 8 = 6 then {_accented_text(d)} else {_list_text(d)} end"
+
+
 BAD_LIST = "'[this is no span list'"
 TRANSPORT = "case when user_id % 2 = 0 then 'sqs' else 'kinesis' end"
 

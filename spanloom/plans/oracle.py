@@ -5,6 +5,7 @@ from __future__ import annotations
 from spanloom.functions import segment as seg
 from spanloom.operators import packing
 from spanloom.plans import catalog, inputs
+from spanloom.plans.dialect import DUCK
 
 NOT_CONSUMED = {  # tag -> annotation key, for the tags the inputs use
     "http.path": "http_path", "xray.namespace": "xray_namespace", "note": "note",
@@ -170,7 +171,10 @@ SPAN_JSON = (
     + """ || ',"id":"' || id || '"' || """ + _text("kind", "kind") + " || " + _text("name", "name")
     + """ || coalesce(',"timestamp":' || timestamp, '') || coalesce(',"duration":' || duration, '')"""
     + """ || coalesce(',"localEndpoint":{"serviceName":"' || local_service || '"}', '')"""
-    + """ || coalesce(',"remoteEndpoint":{"serviceName":"' || remote_service || '"}', '') || '}'"""
+    + """ || coalesce(',"remoteEndpoint":{"serviceName":"' || remote_service || '"}', '')"""
+    + """ || ',"tags":{' || concat_ws(',', """ + ", ".join(
+        f"""'"{t}":"' || replace("{t}", '"', '\\"') || '"'""" for t in inputs.ALL_TAGS
+    ) + """) || '}}'"""
 )
 
 
@@ -178,11 +182,12 @@ def _packing(max_bytes: int, base64: bool) -> str:
     usable = max_bytes * 3 // 4 - 2 if base64 else max_bytes
     half = usable // 2
     step = usable - half - 1
-    return f"""with {UNIQUE},
+    return f"""with spans as ({inputs.SPANS_SQL}),
 encoded as (
   select local_service as pack_key, trace_id, id, kind, {SPAN_JSON} as json,
     cast(strlen({SPAN_JSON}) + 1 as bigint) as size,
-    {_number("trace_id || ':' || id")} % {packing.DEFAULT_BUCKETS} as bucket from uniq),
+    {_number("trace_id || ':' || id")} % {packing.DEFAULT_BUCKETS} as bucket from spans
+  qualify row_number() over (partition by trace_id, id, kind order by json) = 1),
 packed as (
   select *, case when size + 1 > {usable} then 'oversize' when size > {half} then 'alone' else 'shared' end as packing,
     'b' || ((sum(size) over (partition by pack_key order by bucket, trace_id, id, kind
@@ -208,7 +213,9 @@ a as (
     case when request_class = 'GetItemRequest' then 'GetItem' else 'Scan' end as operation
   from log),
 finals as (
-  select call_id, recv_ts as last_recv, status as last_status from a qualify row_number() over (
+  select call_id, recv_ts as last_recv, status as last_status, error as last_error,
+    case when has_cause or not is_service_error or error_message is not null then error end as last_real_error
+  from a qualify row_number() over (
     partition by call_id order by attempt_no desc, recv_ts desc nulls last, status desc nulls last) = 1)"""
 
 CALL_SPANS = f"""with {ATTEMPTS}
@@ -216,42 +223,42 @@ select trace_id, parent_id, call_span as id, null as kind, 'aws-sdk' as name, mi
   any_value(last_recv) - min(send_ts) as duration, null as local_service, null as remote_service,
   service as aws_service_name, operation as aws_operation, null as aws_request_id,
   null as http_status_code,
-  case when any_value(last_status) >= 400 then cast(any_value(last_status) as varchar) end as error
+  coalesce(any_value(last_error),
+    case when any_value(last_status) >= 400 then cast(any_value(last_status) as varchar) end) as error
 from a join finals using (call_id) group by trace_id, parent_id, call_span, service, operation
 union all
 select trace_id, call_span, substr(md5(call_id || ':' || attempt_no), 1, 16), 'CLIENT', operation,
   send_ts, recv_ts - send_ts, null, service, null, null, request_id,
   case when status not between 200 and 299 then cast(status as varchar) end,
-  case when status >= 400 then cast(status as varchar) end
+  coalesce(error, case when status >= 400 then cast(status as varchar) end)
 from a"""
 
-OPERATION_SPANS = f"""with {ATTEMPTS},
-events as (
-  select call_id, send_ts as ts, attempt_no, 0 as phase, 'ws' as v from a
-  union all select call_id, recv_ts, attempt_no, 1, 'wr' from a where recv_ts is not null),
-notes as (
-  select call_id, string_agg(v || '=' || ts, ',' order by ts, attempt_no, phase) as notes
-  from events group by call_id)
+
+
+def _operation_spans(error: str, more: str = "", joins: str = "") -> str:
+    return f"""with {ATTEMPTS}{more}
 select trace_id, parent_id, call_span as id, 'CLIENT' as kind, operation as name,
   min(send_ts) as timestamp, any_value(last_recv) - min(send_ts) as duration,
   null as local_service, service as remote_service,
   service as aws_service_name, operation as aws_operation,
   case when any_value(last_status) not between 200 and 299 then cast(any_value(last_status) as varchar) end
     as http_status_code,
-  case when any_value(last_status) >= 400 then cast(any_value(last_status) as varchar) end as error,
-  any_value(notes) as notes
-from a join finals using (call_id) join notes using (call_id)
+  {error} as error
+from a join finals using (call_id) {joins}
 group by trace_id, parent_id, call_span, service, operation"""
 
+
+LAST_FAILED = "case when any_value(last_status) >= 400 then cast(any_value(last_status) as varchar) end"
+OPERATION_SPANS = _operation_spans(f"coalesce(any_value(last_real_error), {LAST_FAILED})")
+# events carry a status but no error
+EVENT_SPANS_OF_CALLS = _operation_spans(LAST_FAILED)
 # sessions end a minute after their last event; a stream has emitted those the watermark has passed
-SETTLED_SPANS = OPERATION_SPANS.replace(
-    "select trace_id, parent_id, call_span as id",
-    """, ends as (select call_id, max(ts) + 60000000 as session_end from events group by call_id)
-select trace_id, parent_id, call_span as id""",
-).replace(
-    "join notes using (call_id)",
-    """join notes using (call_id) join ends using (call_id)
-where session_end <= (select max(ts) // 1000 * 1000 - 600000000 from events)""",
+_LATEST = "max(greatest(send_ts, coalesce(recv_ts, send_ts)))"
+SETTLED_SPANS = _operation_spans(
+    LAST_FAILED,
+    f", ends as (select call_id, {_LATEST} + 60000000 as session_end from a group by call_id)",
+    "join ends using (call_id) where session_end <= "
+    f"(select {_LATEST} // 1000 * 1000 - 600000000 from a)",
 )
 
 PUBLISHES = f"publishes as ({inputs.PUBLISHES_SQL})"
@@ -356,7 +363,8 @@ def oracle_sql() -> dict[str, str]:
             from spans where id like '0007%' or {sampled}"""),
         "encode_body": (
             "select cast(doc_id as varchar) as key, md5(case when strlen(text) = length(text) "
-            "then text else to_base64(encode(text)) end) as body_md5 from documents"
+            "then text else to_base64(encode(text)) end) as body_md5 from (select doc_id, text from documents "
+            f"union all select 'e' || event_id, {inputs.list_text(DUCK)} from events)"
         ),
         "default_sdk_tag": _spans(f"""select trace_id, id, coalesce("aws.xray.sdk", '{seg.REPORTER_SDK}') as sdk,
             cast({" + ".join(f'case when "{t}" is not null then 1 else 0 end' for t in inputs.ALL_TAGS if t != seg.SDK_TAG)} + 1 as bigint) as tag_count
@@ -411,10 +419,8 @@ def oracle_sql() -> dict[str, str]:
         "root_from_passthrough": f"""with {PARSED} select request_key,
             case when k in (0, 1, 2, 3) or k = 6 then '1-' || case when k = 6 then upper(r1) else r1 end || '-' || r2
               when k = 4 then '2-' || r1 || '-' || r2 end as root from parsed""",
-        "root_epoch": """select lpad(printf('%x', cast(epoch(o_orderdate) as bigint)), 8, '0')
-              || lpad(printf('%x', o_orderkey + 1), 24, '0') as trace_id,
-              cast(epoch(o_orderdate) as bigint) as epoch_seconds
-            from orders join customer on o_custkey = c_custkey where o_orderkey % 25 <> 0""",
+        "root_epoch": _spans("""select trace_id, cast('0x' || substr(trace_id, 1, 8) as bigint) as epoch_seconds
+            from spans where length(trace_id) = 32"""),
         "hex_id": "select event_id, lpad(printf('%x', event_id * 1000003), 16, '0') as hex from events",
         "parse_lambda_header": f"""with {PARSED},
             env as (select * replace (case when request_key % 3 <> 0 then root end as root,
@@ -505,7 +511,7 @@ def oracle_sql() -> dict[str, str]:
         "metrics_by_window": TUMBLING,
         "metrics_by_sliding_window": SLIDING,
         "metrics_by_window_stream": CLOSED,
-        "pair_call_events": OPERATION_SPANS,
+        "pair_call_events": EVENT_SPANS_OF_CALLS,
         "pair_call_events_stream": SETTLED_SPANS,
         "max_batch": """select cast(ceil(count(distinct part) / 3.0) as bigint) as batches, sum(n)::bigint as messages,
             sum(accepted)::bigint as accepted from (

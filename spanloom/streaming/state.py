@@ -42,17 +42,18 @@ def pair_call_events(
 ) -> DataFrame:
     """Client spans from send and receive events that arrive on their own.
 
-    A call is a session: its events lie less than ``timeout`` apart.  Once the watermark passes the
-    end of the session the span is emitted; without a last receive event it has no duration, which
-    is how an unfinished span looks.  Works on a stream and on a table alike.
+    A table gives one span per call, whatever the gaps between its events.  On a stream a call is a
+    session whose events lie less than ``timeout`` apart: once the watermark passes its end the span
+    is emitted.  Without a last receive event a span has no duration, which is how an unfinished one
+    looks.  State holds the first time and the last event of each open call, not its events; those
+    are the annotations, as rows of their own.
     """
+    if not events.isStreaming:
+        return calls.event_spans(events)
     timed = events.withColumn("event_time", F.timestamp_micros(F.col("event.timestamp")))
-    if events.isStreaming:
-        timed = timed.withWatermark("event_time", delay)
-    grouped = timed.groupBy(
-        F.session_window("event_time", timeout), *calls.CALL_COLUMNS
-    ).agg(F.collect_list("event").alias("events"))
-    return calls.operation_span(grouped)
+    return calls.event_spans(
+        timed.withWatermark("event_time", delay), F.session_window("event_time", timeout)
+    )
 
 
 def append_to(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:

@@ -35,8 +35,9 @@ def test_failed_attempt_then_success(spark):
     local = calls.sdk_call_spans(rows).filter("name = 'aws-sdk'").first()
     assert "error" not in local["tags"] and local["duration"] == 35
     (span,) = calls.sdk_operation_spans(rows).collect()
-    assert [a["value"] for a in span["annotations"]] == ["ws", "wr", "ws", "wr"]
-    assert [a["timestamp"] for a in span["annotations"]] == [10, 30, 40, 45]
+    notes = calls.call_annotations(rows).orderBy("timestamp").collect()
+    assert [(a["value"], a["timestamp"]) for a in notes] == [("ws", 10), ("wr", 30), ("ws", 40), ("wr", 45)]
+    assert {(a["trace_id"], a["id"]) for a in notes} == {(span["trace_id"], span["id"])}
     assert "error" not in span["tags"]
 
 
@@ -65,21 +66,28 @@ def test_new_root_gets_a_repeatable_trace(spark):
     assert first == second and len(first) == 1 and len(first.pop()) == 32
 
 
-@pytest.mark.parametrize("broadcast_limit", [100, 0])
-def test_long_calls_are_not_gathered(spark, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(calls, "MAX_BROADCAST_CALLS", broadcast_limit)
-    busy = [attempt(i, 10 * i, 10 * i + 5 if i < 50 else None, 500, call="busy") for i in range(1, 51)]
-    done = [attempt(i, 10 * i, 10 * i + 5, 200, call="done") for i in range(1, 31)]
-    rows = log(spark, *busy, *done, attempt(1, 10, 30, 200, call="short"))
-    everything = {r["id"]: r.asDict(True) for r in calls.sdk_operation_spans(rows).collect()}
-    split = {r["id"]: r.asDict(True) for r in calls.sdk_operation_spans(rows, max_gathered=5).collect()}
-    notes = {}
-    for r in calls.call_annotations(rows).collect():
-        notes.setdefault(r["id"], []).append((r["timestamp"], r["value"]))
-    assert sorted(len(s["annotations"]) for s in split.values()) == [0, 0, 2]
-    for span_id, whole in everything.items():
-        assert sorted(notes[span_id]) == sorted((a["timestamp"], a["value"]) for a in whole["annotations"])
-        assert {**split[span_id], "annotations": 0} == {**whole, "annotations": 0}
+@pytest.mark.parametrize("n", [2, 10_001])
+def test_a_long_call_is_a_span_like_any_other(spark, n):
+    busy = spark.range(1, n + 1).selectExpr(
+        "'busy' call_id", "id attempt_no", "'s' service", "'GetRequest' request_class", "repeat('t', 32) trace_id",
+        "repeat('p', 16) parent_id", "10 * id send_ts", "10 * id + 5 recv_ts", "cast(500 as int) status",
+        "cast(null as string) request_id")
+    (span,) = calls.sdk_operation_spans(busy).collect()
+    assert (span["timestamp"], span["duration"], span["tags"]["error"]) == (10, 10 * n - 5, "500")
+    notes = calls.call_annotations(busy).filter((F.col("id") == span["id"]) & (F.col("trace_id") == span["trace_id"]))
+    assert {r["value"]: r["count"] for r in notes.groupBy("value").count().collect()} == {"ws": n, "wr": n}
+    assert calls.event_spans(calls.call_events(busy)).collect() == [span]
+
+
+@pytest.mark.parametrize("message, cause, service, kept", [
+    ("connection refused", True, False, True), ("repeats the status", False, True, False),
+])
+def test_reported_errors_are_kept(spark, message, cause, service, kept):
+    rows = log(spark, attempt(1, 10, None, None)).select(
+        "*", F.lit(message).alias("error"), F.lit(cause).alias("has_cause"),
+        F.lit(service).alias("is_service_error"), F.lit(None).cast("string").alias("error_message"))
+    assert {s["tags"].get("error") for s in calls.sdk_call_spans(rows).collect()} == {message}
+    assert calls.sdk_operation_spans(rows).first()["tags"].get("error") == (message if kept else None)
 
 
 PUBLISH = (
