@@ -671,6 +671,15 @@ def stream_ingest(spark, sf_dir):
     return _decoded(stream_jobs.stored_spans(spark, f"{run}/out"))
 
 
+@query
+def acknowledgements(spark, sf_dir):
+    """Which messages a stored stream lets the queue delete."""
+    run = session.new_run_dir(spark, "acknowledge")
+    messages = inputs.messages(_events_stream(spark, sf_dir))
+    stream_jobs.stream_ingest(messages, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
+    return stream_jobs.acknowledgements(spark, f"{run}/out")
+
+
 @query
 def stream_ingest_records(spark, sf_dir):
     run = session.new_run_dir(spark, "ingest-records")
@@ -692,11 +701,13 @@ def dedup_spans(spark, sf_dir):
 
 @query
 def dedup_spans_stream(spark, sf_dir):
-    """Every message delivered twice; the stream keeps one copy of each span."""
+    """Every message delivered twice, in several micro-batches; the stream keeps one copy of each span."""
     run = session.new_run_dir(spark, "dedup")
-    once = ingest.decode_spans(ingest.ingest_messages(inputs.messages(_events_stream(spark, sf_dir))))
-    twice = once.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    unique = state.dedup_stream(twice, "60 days")
+    messages = inputs.queue_messages(spark, sf_dir)
+    for delivery in range(2):
+        sinks.write_queue_messages(messages.repartition(3, "message_id"), f"{run}/in/{delivery}")
+    arriving = readers.stream_queue_messages(spark, f"{run}/in/*", max_batch=2)
+    unique = state.dedup_stream(ingest.decode_spans(ingest.ingest_messages(arriving)), "60 days")
     state.append_to(unique, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
     return _decoded(spark.read.parquet(f"{run}/out"))
 

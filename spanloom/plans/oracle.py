@@ -500,6 +500,12 @@ def oracle_sql() -> dict[str, str]:
               from supplier join nation on s_nationkey = n_nationkey)""",
         # streaming
         "stream_ingest": EVENT_SPANS,
+        "acknowledgements": """
+            with m as (select event_id, event_id % 8 as k from events)
+            select cast(event_id as varchar) as message_id, 'r' || event_id as receipt_handle,
+              case when k in (2, 3) then 'skipped' when k = 5 then 'undecodable'
+                when k in (4, 7) then 'malformed' else 'accepted' end as outcome,
+              k not in (2, 3) as "delete" from m""",
         "stream_ingest_records": f"""with r as (select *, event_id % 8 as k from events join (
               select cast(message_id as bigint) as event_id, octet_length(data) as n from ({inputs.RECORDS_SQL}))
               using (event_id))

@@ -1,7 +1,7 @@
 """Endless ingest: receive, unwrap, decode, store.
 
-The checkpoint takes the place of acknowledging messages: a micro-batch that fails is run again from
-it.  Every micro-batch writes its own folders and overwrites them when it is repeated, so a retry
+A micro-batch that fails is run again from the checkpoint.  What may be deleted from the queue stands
+in the outcomes, written last, so a message is acknowledged only once its spans are stored.  Every micro-batch writes its own folders and overwrites them when it is repeated, so a retry
 leaves no second copy.
 """
 
@@ -22,7 +22,9 @@ Sampler = Callable[[DataFrame], DataFrame]
 Sink = Callable[[DataFrame, int], None]
 
 _MESSAGE_COLUMNS = ["message_id", "transport", "outcome", "delete", "payload"]
+# of queue messages; records have neither
 _AS_RECEIVED = ["body", "receipt_handle"]
+_HANDLE = "receipt_handle"
 
 
 def write_outcomes(
@@ -43,8 +45,9 @@ def write_outcomes(
         found = [*_MESSAGE_COLUMNS, *(c for c in _AS_RECEIVED if c in routed.columns)]
         rejected = routed.filter(F.col("outcome") != ACCEPTED).select(*found)
         rejected.write.mode("overwrite").parquet(f"{out}/quarantine/{part}")
+        handle = F.col(_HANDLE) if _HANDLE in routed.columns else F.lit(None).cast("string")
         routed.select(
-            "transport", "received_at", "outcome", "counted",
+            "message_id", handle.alias(_HANDLE), "transport", "received_at", "outcome", "counted", "delete",
             F.octet_length("payload").alias("bytes"), F.size("wire_spans").alias("spans"),
         ).write.mode("overwrite").parquet(f"{out}/outcomes/{part}")
     finally:
@@ -91,5 +94,10 @@ def stored_outcomes(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/outcomes")
 
 
+def acknowledgements(spark: SparkSession, out: str) -> DataFrame:
+    """What became of every message, and whether its handle may be used to delete it."""
+    return stored_outcomes(spark, out).select("message_id", _HANDLE, "outcome", "delete")
+
+
 def stored_quarantine(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/quarantine")

@@ -14,17 +14,18 @@ DEFAULT_TIMEOUT = "1 minute"
 
 
 def dedup_stream(spans: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Drop redelivered spans; the watermark on the span's own time bounds the state.
+    """Drop spans that were delivered before, ``delay`` ago at most; that also bounds the state.
 
-    Spans without a timestamp have no event time and share the epoch's state bucket.
+    Time is when a micro-batch arrives, not what a span says, so old spans and spans without a
+    timestamp are never late.  A copy that comes later than ``delay`` stays.
     """
-    timed = spans.withColumn(
-        "event_time", F.timestamp_micros(F.coalesce("timestamp", F.lit(0).cast("bigint")))
-    ).withColumn("content", content_hash(spans.columns))
-    unique = timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
+    timed = spans.withColumn("arrived", F.current_timestamp()).withColumn(
+        "content", content_hash(spans.columns)
+    )
+    unique = timed.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(
         [*SPAN_KEY, "content"]
     )
-    return unique.drop("event_time", "content")
+    return unique.drop("arrived", "content")
 
 
 def metrics_stream(

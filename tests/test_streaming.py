@@ -89,6 +89,21 @@ def test_redelivered_spans_are_dropped(spark, run_dir, state_settings):
     assert sorted(r["tags"]["a"] for r in spark.read.parquet(f"{run_dir}/out").collect()) == ["b", "c"]
 
 
+def test_old_and_undated_spans_are_not_late(spark, run_dir):
+    """Three micro-batches: recent spans, old and undated ones, and all of them once more."""
+    day = 86_400_000_000
+    times = {"a": 20_000 * day, "b": 20_001 * day, "c": 20_001 * day - day // 24, "d": None, "e": 5}
+    for n, names in enumerate(["ab", "cde", "abcde"]):
+        body = json.dumps([
+            {"traceId": "1", "id": x, **({"timestamp": times[x]} if times[x] else {})} for x in names])
+        sinks.write_queue_messages(spark.createDataFrame(
+            [(str(n), "r", "sqs", body, None)], schema.QUEUE_MESSAGE).coalesce(1), f"{run_dir}/in/{n}")
+        stream = readers.stream_queue_messages(spark, f"{run_dir}/in/*", max_batch=1)
+        unique = state.dedup_stream(ingest.decode_spans(ingest.ingest_messages(stream)))
+        state.append_to(unique, f"{run_dir}/out", f"{run_dir}/cp", True).awaitTermination()
+    assert sorted(int(r["id"], 16) for r in spark.read.parquet(f"{run_dir}/out").collect()) == [10, 11, 12, 13, 14]
+
+
 EVENT = ", ".join(f"{c} string" for c in calls.CALL_COLUMNS) + f", event {calls._EVENT}"
 
 
