@@ -42,9 +42,11 @@ def _step(state: Column, token: Column) -> Column:
 
     good_root = value.rlike(ROOT_PATTERN)
     good_parent = value.rlike(PARENT_PATTERN)
-    # what a malformed root leaves behind: bad digits clear an earlier root, a bad version keeps it
+    # what a malformed root leaves behind: bad digits clear an earlier root; a bad version keeps it, and
+    # so does a header that ends too soon to hold another one
+    too_short = F.length(value) + token["left"] < ROOT_LENGTH
     cleared_root = F.when(
-        value.startswith("1-") & ~(token["last"] & (F.length(value) < ROOT_LENGTH)),
+        value.startswith("1-") & ~too_short,
         F.lit(None).cast("string"),
     ).otherwise(state["root"])
 
@@ -130,10 +132,16 @@ def _read_plain(header: Column) -> dict[str, Column]:
 def _read_any(header: Column) -> Column:
     tokens = F.split(header, ";")
     last = F.size(tokens) - 1
+
+    def token(text, i):
+        # the characters behind the token, delimiters included
+        following = F.length(header) - F.length(F.array_join(F.slice(tokens, 1, i + 1), ";"))
+        return F.struct(
+            text.alias("text"), (i == last).alias("last"), following.alias("left")
+        )
+
     return F.aggregate(
-        F.transform(
-            tokens, lambda text, i: F.struct(text.alias("text"), (i == last).alias("last"))
-        ),
+        F.transform(tokens, token),
         F.struct(
             F.lit(None).alias("root"),
             F.lit(None).alias("parent"),

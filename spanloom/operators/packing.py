@@ -1,9 +1,10 @@
 """Size-bounded messages from encoded spans.
 
-A span takes its JSON bytes plus a separator.  With ``L`` usable list bytes, spans up to half of
-``L`` share messages by their running size; larger ones travel alone; spans that fit no message go
-to quarantine.  The running size is a two-level prefix sum, so one busy host is spread over
-``buckets`` tasks instead of being walked by one.
+A span takes its JSON bytes plus a separator.  With ``L`` usable list bytes, spans up to a sixteenth
+of ``L`` share messages by their running size, filled to fifteen sixteenths; spans up to half of ``L``
+share messages of their own; larger ones travel alone; spans that fit no message go to quarantine.  The
+running sizes are two-level prefix sums, so one busy host is spread over ``buckets`` tasks instead of
+being walked by one.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ QUEUE_MAX_BYTES = 256 * 1024
 STREAM_MAX_BYTES = 1024 * 1024
 
 DEFAULT_BUCKETS = 4096
-SHARED, ALONE, OVERSIZE = "shared", "alone", "oversize"
+SHARED, LARGE, ALONE, OVERSIZE = "shared", "large", "alone", "oversize"
+
+# parts of the usable bytes that a span of each sharing class may take
+SHARED_PART, LARGE_PART = 16, 2
 
 
 def usable_bytes(max_bytes: int, base64: bool) -> int:
@@ -28,6 +32,12 @@ def usable_bytes(max_bytes: int, base64: bool) -> int:
     return max_bytes * 3 // 4 - 2 if base64 else max_bytes
 
 
+def largest_and_step(max_bytes: int, base64: bool, part: int) -> tuple[int, int]:
+    """The largest span of a sharing class, and the running bytes that make a message of it."""
+    usable = usable_bytes(max_bytes, base64)
+    return usable // part, usable - usable // part - 1
+
+
 def partition_key(host: Column, producer: Column) -> Column:
     """The producing host; a stable stand-in per producer where the host is unknown."""
     digest = F.md5(producer.cast("binary"))
@@ -53,42 +63,49 @@ def pack_spans(
     ID, kind).  Raise ``buckets`` with the data, so that a bucket of the busiest host fits a task.
     """
     usable = usable_bytes(max_bytes, base64)
-    half = usable // 2
-    step = usable - half - 1
+    small, small_step = largest_and_step(max_bytes, base64, SHARED_PART)
+    large, large_step = largest_and_step(max_bytes, base64, LARGE_PART)
     labelled = encoded.withColumn(
         "packing",
         F.when(F.col("size") + 1 > usable, F.lit(OVERSIZE))
-        .when(F.col("size") > half, F.lit(ALONE))
+        .when(F.col("size") > large, F.lit(ALONE))
+        .when(F.col("size") > small, F.lit(LARGE))
         .otherwise(F.lit(SHARED)),
     ).withColumn("bucket", (ids.digest_number(F.col("trace_id"), F.col("id")) % buckets).cast("int"))
 
-    # bytes of the shared spans; the others add nothing to the running size
-    weight = F.when(F.col("packing") == SHARED, F.col("size")).otherwise(F.lit(0))
-    totals = labelled.groupBy("pack_key", "bucket").agg(F.sum(weight).alias("bucket_bytes"))
+    # running bytes of either class; spans of another class add nothing to them
+    def bytes_of(label: str) -> Column:
+        return F.when(F.col("packing") == label, F.col("size")).otherwise(F.lit(0))
+
+    classes = {SHARED: ("b", small_step), LARGE: ("l", large_step)}
+    totals = labelled.groupBy("pack_key", "bucket").agg(
+        *[F.sum(bytes_of(label)).alias(label) for label in classes]
+    )
     before = Window.partitionBy("pack_key").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = totals.select(
-        F.col("pack_key"), F.col("bucket"),
-        F.coalesce(F.sum("bucket_bytes").over(before), F.lit(0)).alias("offset"),
-    )
+    offsets = totals.select("pack_key", "bucket", *[
+        F.coalesce(F.sum(label).over(before), F.lit(0)).alias(f"{label}_before") for label in classes
+    ])
     inside = Window.partitionBy("pack_key", "bucket").orderBy("trace_id", "id", "kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    running = labelled.withColumn("running", F.sum(weight).over(inside)).join(
-        offsets, ["pack_key", "bucket"]
-    )
-    total = F.col("offset") + F.col("running")
+    running = labelled.select("*", *[
+        F.sum(bytes_of(label)).over(inside).alias(f"{label}_running") for label in classes
+    ]).join(offsets, ["pack_key", "bucket"])
     batch = F.when(
-        F.col("packing") == SHARED, F.concat(F.lit("b"), F.floor((total - 1) / step).cast("string"))
-    ).when(
         F.col("packing") == ALONE,
         F.concat_ws("-", F.lit("a"), "trace_id", "id", F.coalesce("kind", F.lit(""))),
     )
-    return running.withColumn("batch", batch).drop("running", "offset", "bucket")
+    for label, (prefix, step) in classes.items():
+        total = F.col(f"{label}_before") + F.col(f"{label}_running")
+        number = F.floor((total - 1) / step).cast("string")
+        batch = batch.when(F.col("packing") == label, F.concat(F.lit(prefix), number))
+    return running.withColumn("batch", batch).select(*encoded.columns, "packing", "batch")
 
 
 def oversize_spans(packed: DataFrame) -> DataFrame:
+    """The spans that fit no message, for ``sinks.write_oversize``."""
     return packed.filter(F.col("packing") == OVERSIZE)
 
 

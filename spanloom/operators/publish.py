@@ -4,10 +4,15 @@ The log has one row per message: ``batch_id``, ``entry_id``, ``queue_url``, ``at
 ``batch_ts``/``sent_ts`` (microseconds), ``scope`` (struct of trace_id, span_id, sampled: the span
 in scope, or null) and ``local_service``.  All batch columns repeat on every entry, so entries find
 their parent without a join.
+
+Where headers travel can be chosen: ``carrier`` is the map column and ``names`` are the header names.
+The first one that is present is read, all are cleared, and the first is written.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +25,8 @@ PUBLISH, PUBLISH_BATCH = "publish", "publish-batch"
 REMOTE_SERVICE = "amazon-sqs"
 QUEUE_TAG = "queue.url"
 
+CARRIER, NAMES = "attributes", (headers.HEADER_NAME,)
+
 CONTEXT = "struct<trace_id:string,parent_id:string,sampled:boolean,custom:string>"
 
 
@@ -45,9 +52,11 @@ def _decided(context: Column, rate: float) -> Column:
     return F.coalesce(context["sampled"], sampling.is_sampled(context["trace_id"], rate))
 
 
-def publish_contexts(messages: DataFrame, rate: float = 1.0) -> DataFrame:
+def publish_contexts(
+    messages: DataFrame, rate: float = 1.0, carrier: str = CARRIER, names: Sequence[str] = NAMES
+) -> DataFrame:
     """Single publishes: add ``context`` (of the parent), ``span_id`` and ``sampled``."""
-    parsed = headers.parse_trace_header(F.col("attributes")[headers.HEADER_NAME])
+    parsed = headers.parse_trace_header(F.coalesce(*[F.col(carrier)[name] for name in names]))
     fresh = ids.derived_trace_id(
         _seconds("sent_ts"), F.lit("message"), F.col("batch_id"), F.col("entry_id")
     )
@@ -124,18 +133,20 @@ def publish_batch_spans(messages: DataFrame, legacy: bool = False) -> DataFrame:
     return schema.conform(parents).unionByName(message_spans(located))
 
 
-def strip_trace_headers(messages: DataFrame) -> DataFrame:
-    return messages.withColumn(
-        "attributes", call_fields.strip_headers(F.col("attributes"), [headers.HEADER_NAME])
-    )
+def strip_trace_headers(
+    messages: DataFrame, carrier: str = CARRIER, names: Sequence[str] = NAMES
+) -> DataFrame:
+    return messages.withColumn(carrier, call_fields.strip_headers(F.col(carrier), list(names)))
 
 
-def inject_message_headers(located: DataFrame) -> DataFrame:
+def inject_message_headers(
+    located: DataFrame, carrier: str = CARRIER, names: Sequence[str] = NAMES
+) -> DataFrame:
     """Replace each message's trace header by the one of its publish span."""
     header = headers.format_trace_header(
         F.col("context.trace_id"), F.col("span_id"), F.col("sampled"), F.col("context.custom")
     )
-    cleared = call_fields.strip_headers(F.col("attributes"), [headers.HEADER_NAME])
+    cleared = call_fields.strip_headers(F.col(carrier), list(names))
     return located.withColumn(
-        "attributes", F.map_concat(cleared, F.create_map(F.lit(headers.HEADER_NAME), header))
+        carrier, F.map_concat(cleared, F.create_map(F.lit(names[0]), header))
     )

@@ -79,7 +79,27 @@ def segment_documents(spans: DataFrame) -> DataFrame:
     )
 
 
-def report(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What the reporter sends, and what it has to leave out."""
-    tagged = default_sdk_tag(spans)
-    return segment_documents(tagged), quarantined(tagged)
+def report(spans: DataFrame) -> DataFrame:
+    """Every span with its document to send, or the ``reason`` why it has none, in one pass.
+
+    Write it once and split what was written with ``sent`` and ``left_out``.
+    """
+    marked = s.prepared(default_sdk_tag(spans)).withColumn("reason", reject_reason())
+    encodable = F.col("reason").isNull()
+    return marked.select(
+        *spans.columns, "reason",
+        F.when(encodable, s.document()).alias("document"),
+        F.when(encodable, s.has_broken_exceptions()).alias("broken_exceptions"),
+    )
+
+
+def sent(reported: DataFrame) -> DataFrame:
+    """What the reporter sends."""
+    return reported.filter(F.col("reason").isNull()).select(
+        "trace_id", "id", "document", "broken_exceptions"
+    )
+
+
+def left_out(reported: DataFrame) -> DataFrame:
+    """What it has to leave out, with the reason."""
+    return reported.filter(F.col("reason").isNotNull()).drop("document", "broken_exceptions")

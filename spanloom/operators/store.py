@@ -1,21 +1,84 @@
 """Trace-store questions over a table of spans.
 
-Spans must be unique per (trace, ID, kind): store the output of ``dedup_spans``.
+Spans must be unique per (trace, ID, kind): store the output of ``dedup_spans``, best by ``write_spans``.
+The questions work on any table of spans; where it has the columns of that layout, folders of other
+times and files of other traces are not read.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom import schema
 from spanloom.functions import headers
 from spanloom.operators.dedup import keep_first
 from spanloom.operators.joins import left_join_summary
 
 MAX_BROADCAST_TRACES = 10_000
 
+# Columns of the layout: the low 64 bits of the trace, and what the folders are named by: the first day
+# of the period a span falls into, null without a timestamp.
+TRACE_LOW = "trace_low"
+PERIODS = ("day", "month", "year")
+TRACE_LOW_DIGITS = 16
+
+
+def _first_day(period: str, micros: Column) -> Column:
+    return F.to_date(F.date_trunc(period, F.timestamp_micros(micros)))
+
+
+def _trace_low(trace_id: Column) -> Column:
+    return F.substring(trace_id, -TRACE_LOW_DIGITS, TRACE_LOW_DIGITS)
+
+
+def write_spans(spans: DataFrame, path: str, period: str = "day") -> None:
+    """A folder per period, in it files of neighbouring traces, sorted.
+
+    Choose the period by what it holds: a folder should fill some files.  The ranges go down to the
+    span, so a trace with a third of all spans is spread as well.
+    """
+    if period not in PERIODS:
+        raise ValueError(f"period must be one of {PERIODS}")
+    laid_out = spans.select(*schema.SPAN_FIELDS).withColumns({
+        TRACE_LOW: _trace_low(F.col("trace_id")), period: _first_day(period, F.col("timestamp")),
+    })
+    order = [period, TRACE_LOW, "trace_id", "id"]
+    laid_out.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+        "overwrite"
+    ).partitionBy(period).parquet(path)
+
+
+def read_spans(spark: SparkSession, path: str, period: str = "day") -> DataFrame:
+    return spark.read.schema(f"{schema.SPAN}, {TRACE_LOW} string, {period} date").parquet(path)
+
+
+def _between(spans: DataFrame, start: int | None, end: int | None, undated: bool) -> DataFrame:
+    """Spans of a time in microseconds, both ends included; ``undated`` keeps those without one."""
+
+    def within(value: Column, low: Column, high: Column) -> Column:
+        inside = F.lit(True)
+        if start is not None:
+            inside = inside & (value >= low)
+        if end is not None:
+            inside = inside & (value <= high)
+        return value.isNull() | inside if undated else value.isNotNull() & inside
+
+    low, high = F.lit(start).cast("bigint"), F.lit(end).cast("bigint")
+    found = spans.filter(within(F.col("timestamp"), low, high))
+    for period in PERIODS:
+        if period in spans.columns:
+            bounds = _first_day(period, low), _first_day(period, high)
+            found = found.filter(within(F.col(period), *bounds))
+    return found
+
+
+def _plain(spans: DataFrame) -> DataFrame:
+    """Without the columns of the layout."""
+    return spans.drop(TRACE_LOW, *PERIODS)
+
 
 def _matches(
     service: str | None, span_name: str | None, tags: dict[str, str | None] | None,
@@ -45,15 +108,19 @@ def find_traces(
     """IDs and times of the latest matching traces; window in milliseconds.
 
     A trace matches when one of its spans meets every condition.  Its time is its earliest
-    timestamp.  The aggregate combines in every task first, so a huge trace costs one row per task.
+    timestamp, so no span of it is older than the window and candidates are looked for in younger ones
+    alone.  The conditions reach that scan; only candidates are timed.
     """
+    start, end = (end_ts - lookback) * 1000, end_ts * 1000
+    recent = _between(spans, start, None, undated=True)
     hit = _matches(service, span_name, tags, min_duration, max_duration)
-    per_trace = spans.groupBy("trace_id").agg(
-        F.min("timestamp").alias("trace_ts"), F.max(hit.cast("int")).alias("hit")
-    )
-    in_window = F.col("trace_ts").between((end_ts - lookback) * 1000, end_ts * 1000)
+    candidates = recent.filter(hit).select("trace_id").distinct()
+    # what came before the window rules a trace out, so all spans of the candidates count here
+    per_trace = spans.select("trace_id", "timestamp").join(
+        candidates, "trace_id", "left_semi"
+    ).groupBy("trace_id").agg(F.min("timestamp").alias("trace_ts"))
     return (
-        per_trace.filter((F.col("hit") == 1) & in_window)
+        per_trace.filter(F.col("trace_ts").between(start, end))
         .orderBy(F.col("trace_ts").desc(), F.col("trace_id"))
         .limit(limit)
         .select("trace_id", "trace_ts")
@@ -65,17 +132,18 @@ def get_traces(spans: DataFrame, limit: int = 10, **query) -> DataFrame:
     found = find_traces(spans, limit=limit, **query).select("trace_id")
     if limit <= MAX_BROADCAST_TRACES:
         found = F.broadcast(found)
-    return spans.join(found, "trace_id", "left_semi")
+    recent = _between(spans, (query["end_ts"] - query["lookback"]) * 1000, None, undated=True)
+    return _plain(recent.join(found, "trace_id", "left_semi"))
 
 
 def get_trace(spans: DataFrame, trace_id: str, strict: bool = True) -> DataFrame:
     """Spans of one trace by time; not strict compares the low 64 bits only."""
     wanted = trace_id.lower()
-    match = (
-        F.col("trace_id") == wanted if strict
-        else F.substring("trace_id", -16, 16) == wanted[-16:].rjust(16, "0")
-    )
-    return spans.filter(match).orderBy(F.col("timestamp").asc_nulls_first(), "id", "kind")
+    low = F.col(TRACE_LOW) if TRACE_LOW in spans.columns else _trace_low(F.col("trace_id"))
+    match = low == wanted[-TRACE_LOW_DIGITS:].rjust(TRACE_LOW_DIGITS, "0")
+    if strict:
+        match = match & (F.col("trace_id") == wanted)
+    return _plain(spans.filter(match)).orderBy(F.col("timestamp").asc_nulls_first(), "id", "kind")
 
 
 def get_service_names(spans: DataFrame) -> DataFrame:
@@ -88,19 +156,23 @@ def get_span_names(spans: DataFrame, service: str) -> DataFrame:
     return named.select("name").distinct().orderBy("name")
 
 
-def get_dependencies(spans: DataFrame, end_ts: int, lookback: int) -> DataFrame:
+def get_dependencies(
+    spans: DataFrame, end_ts: int, lookback: int, parent_slack: int | None = None
+) -> DataFrame:
     """Calls and errors per parent and child service; window in milliseconds.
 
     Children are counted per parent span *before* the join, so a parent with a third of all
-    children brings a handful of rows to it.
+    children brings a handful of rows to it.  Of the other spans only parents of those children are
+    ranked.  A parent may be of any time; ``parent_slack`` limits it to so many milliseconds around the
+    window (or no timestamp), which spares the folders of other days.
     """
-    in_window = F.col("timestamp").between((end_ts - lookback) * 1000, end_ts * 1000)
+    start, end = (end_ts - lookback) * 1000, end_ts * 1000
     outgoing = F.col("kind").isin("CLIENT", "PRODUCER")
     incoming = F.col("kind").isin("SERVER", "CONSUMER")
     status = F.col("tags")["http.status_code"].try_cast("int")
     failed = F.col("tags")["error"].isNotNull() | F.coalesce(status >= 500, F.lit(False))
     children = (
-        spans.filter(in_window & F.col("parent_id").isNotNull())
+        _between(spans, start, end, undated=False).filter(F.col("parent_id").isNotNull())
         .select(
             "trace_id",
             F.col("parent_id").alias("id"),
@@ -114,8 +186,13 @@ def get_dependencies(spans: DataFrame, end_ts: int, lookback: int) -> DataFrame:
     )
     # an ID shared by both ends of a call belongs to its server side
     side = F.when(incoming, F.lit(0)).otherwise(F.lit(1))
+    possible = spans if parent_slack is None else _between(
+        spans, start - parent_slack * 1000, end + parent_slack * 1000, undated=True
+    )
     parents = keep_first(
-        spans.select("trace_id", "id", "kind", "local_service"),
+        possible.select("trace_id", "id", "kind", "local_service").join(
+            children.select("trace_id", "id"), ["trace_id", "id"], "left_semi"
+        ),
         ["trace_id", "id"],
         [side, F.col("kind").asc_nulls_last(), F.col("local_service").asc_nulls_last()],
     ).filter(F.col("local_service").isNotNull())
@@ -132,20 +209,24 @@ def correlate_logs(logs: DataFrame, spans: DataFrame, header: str = "header") ->
     """Request logs with what the trace store knows about their trace.
 
     Adds ``trace_id`` (null for an unusable header), ``span_count``, ``first_ts`` and ``state``:
-    ``traced``, ``unknown_trace`` or ``untraced``.  Spans shrink to one row per trace first; the
-    join copes with a trace ID that fills the logs.
+    ``traced``, ``unknown_trace`` or ``untraced``.  Spans shrink to one row per trace first, within
+    each task where the store keeps traces together; the join copes with a trace ID that fills the
+    logs, and logs without a usable root stay out of it.
     """
-    root = headers.parse_trace_header(F.col(header))["root"]
+    rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
     summary = spans.groupBy("trace_id").agg(
         F.count("*").alias("span_count"), F.min("timestamp").alias("first_ts")
     )
-    joined = left_join_summary(logs.withColumn("trace_id", root), summary, "trace_id")
-    state = (
-        F.when(F.col("trace_id").isNull(), F.lit("untraced"))
-        .when(F.col("span_count").isNull(), F.lit("unknown_trace"))
-        .otherwise(F.lit("traced"))
+    known = F.col("trace_id").isNotNull()
+    joined = left_join_summary(rooted.filter(known), summary, "trace_id").withColumn(
+        "state",
+        F.when(F.col("span_count").isNull(), F.lit("unknown_trace")).otherwise(F.lit("traced")),
+    )
+    none = F.lit(None).cast("bigint")
+    untraced = rooted.filter(~known).withColumns(
+        {"span_count": none, "first_ts": none, "state": F.lit("untraced")}
     )
-    return joined.withColumn("state", state)
+    return joined.unionByName(untraced)
 
 
 def untraced_requests(logs: DataFrame, spans: DataFrame, header: str = "header") -> DataFrame:

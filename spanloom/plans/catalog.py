@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom import schema, session
+from spanloom import session
 from spanloom.functions import calls as call_fields
 from spanloom.functions import headers, hosts, ids, payload, sampling
 from spanloom.functions import segment as seg
@@ -113,11 +113,14 @@ def read_all_spans(spark, sf_dir):
 def _encoded(spark, sf_dir) -> DataFrame:
     """Encoded spans, staged: packing reads their sizes first and the whole rows afterwards.
 
-    Of differing reports of a span the first one as text is packed.
+    Some carry a long tag, so that every way of travelling occurs.  Of differing reports of a span the
+    first one as text is packed.
     """
     key = packing.partition_key(F.col("local_service"), F.col("trace_id"))
     path = session.new_run_dir(spark, "encoded")
-    encoded = packing.encode_spans(inputs.spans(spark, sf_dir), key)
+    long_tag = F.expr(f"map('{inputs.LONG_TAG}', {inputs.long_tag_text()})")
+    tags = F.map_concat("tags", F.map_filter(long_tag, lambda _, v: v.isNotNull()))
+    encoded = packing.encode_spans(inputs.spans(spark, sf_dir).withColumn("tags", tags), key)
     dedup.keep_first(encoded, dedup.SPAN_KEY, [F.col("json")]).write.parquet(path)
     return spark.read.parquet(path)
 
@@ -137,6 +140,16 @@ def write_queue_messages(spark, sf_dir):
     )
 
 
+@query
+def write_oversize_spans(spark, sf_dir):
+    """What no queue message holds, read back from quarantine."""
+    path = session.new_run_dir(spark, "oversize")
+    sinks.write_oversize(packing.oversize_spans(_packed(spark, sf_dir, QUEUE_BYTES, True)), path)
+    return spark.read.parquet(path).select(
+        "pack_key", "trace_id", "id", "kind", "size", F.md5("json").alias("json_md5")
+    )
+
+
 @query
 def write_stream_records(spark, sf_dir):
     path = session.new_run_dir(spark, "out-records")
@@ -200,16 +213,11 @@ def write_xray_segments(spark, sf_dir):
 
 @query
 def report_xray(spark, sf_dir):
-    sent, left_out = segments.report(inputs.spans(spark, sf_dir))
-    sent_rows = sent.select(
-        "trace_id", "id", F.lit("sent").alias("outcome"),
+    reported = segments.report(inputs.spans(spark, sf_dir))
+    return reported.select(
+        "trace_id", "id", F.coalesce("reason", F.lit("sent")).alias("outcome"),
         F.get_json_object("document", "$.aws.xray.sdk").alias("sdk"),
     )
-    return sent_rows.unionByName(
-        left_out.select(
-            "trace_id", "id", F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("sdk")
-        )
-    )
 
 
 # ---------------------------------------------------------------- filters and routing
@@ -595,10 +603,10 @@ def partition_key(spark, sf_dir):
 
 
 def _store(spark, sf_dir) -> DataFrame:
-    """The trace store: delivered spans, without duplicates, as a table."""
+    """The trace store: delivered spans, without duplicates, as a table of a folder a year."""
     path = session.new_run_dir(spark, "store")
-    dedup.dedup_spans(inputs.delivered_spans(spark, sf_dir)).write.parquet(path)
-    return spark.read.schema(schema.SPAN).parquet(path)
+    store.write_spans(dedup.dedup_spans(inputs.delivered_spans(spark, sf_dir)), path, "year")
+    return store.read_spans(spark, path, "year")
 
 
 @query
@@ -724,12 +732,12 @@ def metrics_by_sliding_window(spark, sf_dir):
 
 @query
 def metrics_by_window_stream(spark, sf_dir):
-    """Windows the watermark has closed; the last ones stay open until later messages come."""
+    """The windows as the stream has stored them so far, open ones included."""
     run = session.new_run_dir(spark, "metrics")
     routed = ingest.ingest_messages(inputs.messages(_events_stream(spark, sf_dir)))
     windows = state.metrics_stream(routed)
-    state.append_to(windows, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
-    return spark.read.parquet(f"{run}/out")
+    state.upsert_to(windows, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
+    return state.newest(spark, f"{run}/out")
 
 
 @query
@@ -741,12 +749,11 @@ def pair_call_events(spark, sf_dir):
 
 @query
 def pair_call_events_stream(spark, sf_dir):
-    """The same on a stream: calls whose session the watermark has passed."""
+    """The same from a stream of events, whatever micro-batch brings them."""
     run = session.new_run_dir(spark, "pairing")
     events = calls.call_events(inputs.stream_attempts(spark, sf_dir))
-    paired = state.pair_call_events(events)
-    state.append_to(paired, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
-    return _operation_flat(spark.read.parquet(f"{run}/out"))
+    state.stream_call_parts(events, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
+    return _operation_flat(state.stored_calls(spark, f"{run}/out"))
 
 
 @query

@@ -124,10 +124,6 @@ SLIDING = _window_metrics(
     "[time_bucket(interval '20 minutes', received_at) - interval '20 minutes' * x for x in [0, 1, 2]]",
     "1 hour",
 )
-# a stream has closed the windows that end no later than the newest message minus the delay
-CLOSED = f"""with all_windows as ({TUMBLING})
-select * from all_windows where window_end <=
-  (select date_trunc('milliseconds', max(ts)) - interval '10 minutes' from events)"""
 
 V1 = """with e as (
   select *, event_id % 6 as k, epoch_us(ts) as t, cast(round(value * 1000) as bigint) as n,
@@ -173,45 +169,58 @@ SPAN_JSON = (
     + """ || coalesce(',"localEndpoint":{"serviceName":"' || local_service || '"}', '')"""
     + """ || coalesce(',"remoteEndpoint":{"serviceName":"' || remote_service || '"}', '')"""
     + """ || ',"tags":{' || concat_ws(',', """ + ", ".join(
-        f"""'"{t}":"' || replace("{t}", '"', '\\"') || '"'""" for t in inputs.ALL_TAGS
+        f"""'"{t}":"' || replace("{t}", '"', '\\"') || '"'""" for t in [*inputs.ALL_TAGS, inputs.LONG_TAG]
     ) + """) || '}}'"""
 )
 
 
 def _packing(max_bytes: int, base64: bool) -> str:
     usable = max_bytes * 3 // 4 - 2 if base64 else max_bytes
-    half = usable // 2
-    step = usable - half - 1
-    return f"""with spans as ({inputs.SPANS_SQL}),
+    small, large = usable // 16, usable // 2
+
+    def running(step: int) -> str:
+        return f"""((sum(size) over (partition by pack_key, packing order by bucket, trace_id, id, kind
+      rows unbounded preceding) - 1) // {step})"""
+
+    return f"""with plain as ({inputs.SPANS_SQL}),
+spans as (select *, {inputs.long_tag_text()} as "{inputs.LONG_TAG}" from plain),
 encoded as (
   select local_service as pack_key, trace_id, id, kind, {SPAN_JSON} as json,
     cast(strlen({SPAN_JSON}) + 1 as bigint) as size,
     {_number("trace_id || ':' || id")} % {packing.DEFAULT_BUCKETS} as bucket from spans
   qualify row_number() over (partition by trace_id, id, kind order by json) = 1),
+sized as (
+  select *, case when size + 1 > {usable} then 'oversize' when size > {large} then 'alone'
+    when size > {small} then 'large' else 'shared' end as packing from encoded),
 packed as (
-  select *, case when size + 1 > {usable} then 'oversize' when size > {half} then 'alone' else 'shared' end as packing,
-    'b' || ((sum(size) over (partition by pack_key order by bucket, trace_id, id, kind
-      rows unbounded preceding) - 1) // {step}) as batch
-  from encoded)"""
+  select *, case packing when 'shared' then 'b' || {running(usable - small - 1)}
+    when 'large' then 'l' || {running(usable - large - 1)}
+    when 'alone' then concat_ws('-', 'a', trace_id, id, coalesce(kind, '')) end as batch
+  from sized)"""
 
 
 def _lists(key: str, md5: str, max_bytes: int, base64: bool) -> str:
     return f"""{_packing(max_bytes, base64)}
 select pack_key as {key}, batch, count(*) as span_count, cast(sum(size) + 1 as bigint) as list_bytes,
   md5('[' || string_agg(json, ',' order by trace_id, id) || ']') as {md5}
-from packed group by pack_key, batch"""
+from packed where packing <> 'oversize' group by pack_key, batch"""
 
 
 # ---------------------------------------------------------------- logs
 
-ATTEMPTS = f"""log as ({inputs.ATTEMPTS_SQL}),
+def _attempts(wanted: str = "true") -> str:
+    return f"""log as ({inputs.ATTEMPTS_SQL}),
 a as (
   select * exclude (trace_id, parent_id),
     coalesce(trace_id, '00000000' || substr(md5('call:' || call_id), 1, 24)) as trace_id,
     case when trace_id is not null then parent_id end as parent_id,
     substr(md5('call:' || call_id), 1, 16) as call_span,
     case when request_class = 'GetItemRequest' then 'GetItem' else 'Scan' end as operation
-  from log),
+  from log where {wanted})"""
+
+
+# calls without a caller are left out where the request rule says so
+ATTEMPTS = f"""{_attempts("log.trace_id is not null or coalesce(request_rule, true)")},
 finals as (
   select call_id, recv_ts as last_recv, status as last_status, error as last_error,
     case when has_cause or not is_service_error or error_message is not null then error end as last_real_error
@@ -234,9 +243,8 @@ select trace_id, call_span, substr(md5(call_id || ':' || attempt_no), 1, 16), 'C
 from a"""
 
 
-
-def _operation_spans(error: str, more: str = "", joins: str = "") -> str:
-    return f"""with {ATTEMPTS}{more}
+def _operation_spans(error: str) -> str:
+    return f"""with {ATTEMPTS}
 select trace_id, parent_id, call_span as id, 'CLIENT' as kind, operation as name,
   min(send_ts) as timestamp, any_value(last_recv) - min(send_ts) as duration,
   null as local_service, service as remote_service,
@@ -244,7 +252,7 @@ select trace_id, parent_id, call_span as id, 'CLIENT' as kind, operation as name
   case when any_value(last_status) not between 200 and 299 then cast(any_value(last_status) as varchar) end
     as http_status_code,
   {error} as error
-from a join finals using (call_id) {joins}
+from a join finals using (call_id)
 group by trace_id, parent_id, call_span, service, operation"""
 
 
@@ -252,14 +260,6 @@ LAST_FAILED = "case when any_value(last_status) >= 400 then cast(any_value(last_
 OPERATION_SPANS = _operation_spans(f"coalesce(any_value(last_real_error), {LAST_FAILED})")
 # events carry a status but no error
 EVENT_SPANS_OF_CALLS = _operation_spans(LAST_FAILED)
-# sessions end a minute after their last event; a stream has emitted those the watermark has passed
-_LATEST = "max(greatest(send_ts, coalesce(recv_ts, send_ts)))"
-SETTLED_SPANS = _operation_spans(
-    LAST_FAILED,
-    f", ends as (select call_id, {_LATEST} + 60000000 as session_end from a group by call_id)",
-    "join ends using (call_id) where session_end <= "
-    f"(select {_LATEST} // 1000 * 1000 - 600000000 from a)",
-)
 
 PUBLISHES = f"publishes as ({inputs.PUBLISHES_SQL})"
 _HEX_SECONDS = "lpad(printf('%x', {} // 1000000), 8, '0')"
@@ -336,6 +336,8 @@ def oracle_sql() -> dict[str, str]:
         "decode_spans_json_v1": V1,
         "read_all_spans": f"{EVENT_SPANS} union all {RECORD_SPANS}",
         "write_queue_messages": _lists("pack_key", "body_md5", catalog.QUEUE_BYTES, True),
+        "write_oversize_spans": f"""{_packing(catalog.QUEUE_BYTES, True)}
+            select pack_key, trace_id, id, kind, size, md5(json) as json_md5 from packed where packing = 'oversize'""",
         "write_stream_records": _lists("partition_key", "data_md5", catalog.STREAM_BYTES, False),
         "write_xray_segments": DOCUMENT,
         "report_xray": _spans(f"""
@@ -451,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
                 else '?brand=' || p_brand end as url from part""",
         "request_id": f"""select call_id, attempt_no, case when is_service_error or has_result then request_id
             else header_request_id end as request_id from ({inputs.ATTEMPTS_SQL})""",
-        "deferred_root_sampling": f"""with {ATTEMPTS}
+        "deferred_root_sampling": f"""with {_attempts()}
             select distinct call_id, case when cast(call_id as bigint) % 3 <> 0 then true
               else coalesce(request_rule, {sampled}) end as sampled from a""",
         "header_first_value": """select p_partkey as part_key, case when p_partkey % 4 <> 0 then p_type end as first,
@@ -516,9 +518,9 @@ def oracle_sql() -> dict[str, str]:
         "dedup_spans_stream": EVENT_SPANS,
         "metrics_by_window": TUMBLING,
         "metrics_by_sliding_window": SLIDING,
-        "metrics_by_window_stream": CLOSED,
+        "metrics_by_window_stream": TUMBLING,
         "pair_call_events": EVENT_SPANS_OF_CALLS,
-        "pair_call_events_stream": SETTLED_SPANS,
+        "pair_call_events_stream": EVENT_SPANS_OF_CALLS,
         "max_batch": """select cast(ceil(count(distinct part) / 3.0) as bigint) as batches, sum(n)::bigint as messages,
             sum(accepted)::bigint as accepted from (
               select x as part, count(*) as n, count(*) filter (where event_id % 8 in (0, 1, 6)) as accepted

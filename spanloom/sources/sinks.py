@@ -17,6 +17,11 @@ def write_stream_records(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").parquet(path)
 
 
+def write_oversize(oversize: DataFrame, path: str) -> None:
+    """Quarantine of spans too large for any message: identity, size and the whole JSON text."""
+    oversize.select("pack_key", "trace_id", "id", "kind", "size", "json").write.mode("overwrite").parquet(path)
+
+
 def write_segments(documents: DataFrame, path: str) -> None:
     """One datagram per document: the header line, then the document line."""
     documents.select(datagram(F.col("document")).alias("value")).write.mode("overwrite").text(path)

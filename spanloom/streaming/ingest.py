@@ -1,8 +1,9 @@
 """Endless ingest: receive, unwrap, decode, store.
 
 A micro-batch that fails is run again from the checkpoint.  What may be deleted from the queue stands
-in the outcomes, written last, so a message is acknowledged only once its spans are stored.  Every micro-batch writes its own folders and overwrites them when it is repeated, so a retry
-leaves no second copy.
+in the outcomes, written last, so a message is acknowledged only once its spans are stored.  Every
+micro-batch writes its own folders and overwrites them when it is repeated, so a retry leaves no second
+copy.
 """
 
 from __future__ import annotations
@@ -60,10 +61,13 @@ def folder_sink(out: str, sampler: Sampler | None = None) -> Sink:
 
 
 def run(
-    routed: DataFrame, sink: Sink, checkpoint: str, available_now: bool = False
+    routed: DataFrame, sink: Sink, checkpoint: str, available_now: bool = False,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Hand every routed micro-batch to a sink; one that raises is handed over again on restart."""
-    writer = routed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = routed.writeStream.foreachBatch(sink).outputMode(mode).option(
+        "checkpointLocation", checkpoint
+    )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

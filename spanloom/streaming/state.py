@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.operators import calls, metrics
-from spanloom.operators.dedup import SPAN_KEY, content_hash
+from spanloom.operators.dedup import SPAN_KEY, content_hash, keep_first
+from spanloom.streaming.ingest import run
 
 DEFAULT_DELAY = "10 minutes"
 DEFAULT_TIMEOUT = "1 minute"
 
+WINDOW_KEY = ["window_start", "window_end", "transport"]
+
 
 def dedup_stream(spans: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     """Drop spans that were delivered before, ``delay`` ago at most; that also bounds the state.
@@ -57,6 +60,43 @@ def pair_call_events(
     )
 
 
+def stream_call_parts(
+    events: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Store what every micro-batch says about its calls, for ``stored_calls``.
+
+    No state and no watermark: an event may come at any time after the others.
+    """
+    return _by_batch(events, path, checkpoint, available_now, calls.event_parts)
+
+
+def stored_calls(spark: SparkSession, path: str) -> DataFrame:
+    """Client spans of all calls seen so far, finished or not."""
+    return calls.part_spans(calls.merge_parts(spark.read.parquet(path)))
+
+
+def upsert_to(
+    windows: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Store the windows that every micro-batch changed, open ones included, for ``newest``."""
+    return _by_batch(windows, path, checkpoint, available_now)
+
+
+def newest(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
+    """The latest stored row of each window."""
+    changed = spark.read.parquet(path)
+    return keep_first(changed, keys or WINDOW_KEY, [F.col("batch").desc()]).drop("batch")
+
+
+def _by_batch(df, path, checkpoint, available_now, change=lambda batch: batch) -> StreamingQuery:
+    """A folder per micro-batch; one that is repeated overwrites its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        change(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return run(df, write, checkpoint, available_now, "update")
+
+
 def append_to(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Append finished rows as parquet; the file sink commits each micro-batch once."""
     writer = df.writeStream.format("parquet").outputMode("append").option(

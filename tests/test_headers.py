@@ -18,6 +18,11 @@ VECTORS = [
      ROOT, None, None, ";Zone=b2;Hops=3"),
     (f"Root=3{ROOT_TEXT[1:]}", None, None, None, ""),
     (f"Root={ROOT_TEXT[:-2]}", None, None, None, ""),
+    # a second root: cut off at the end, cut off with room behind it, with a wrong digit
+    (f"Root={ROOT_TEXT};Root=1-7a", ROOT, None, None, ""),
+    (f"Root={ROOT_TEXT};Root=1-7a;Sampled=1", ROOT, None, None, ""),
+    (f"Root={ROOT_TEXT};Root=1-7a;Parent={PARENT};Sampled=1", None, None, None, ""),
+    (f"Root={ROOT_TEXT};Root={ROOT_TEXT[:4]}x{ROOT_TEXT[5:]}", None, None, None, ""),
     (f"Root={ROOT_TEXT[:4]}g{ROOT_TEXT[5:]}", None, None, None, ""),
     ("no fields ✗ at all", None, None, None, ""),
     # read before the malformed part stays, what follows is ignored

@@ -53,6 +53,26 @@ def test_extra_tags_reach_the_client_span(spark):
     assert not spans.filter("map_contains_key(tags, 'none')").count()
 
 
+def test_extra_tags_of_the_one_span_model_are_the_last_attempts(spark):
+    rows = log(spark, attempt(2, 40, 45, 200, "b"), attempt(1, 10, 30, 500, "a"))
+    (span,) = calls.sdk_operation_spans(rows, {"own": F.col("request_id"), "none": F.lit(None).cast("string")}).collect()
+    assert span["tags"]["own"] == "b" and "none" not in span["tags"]
+
+
+def test_only_sampled_calls_are_reported(spark):
+    """Inherited decisions come first, then the request rule, then the rate."""
+    facts = [("kept", "t" * 32, True, False), ("dropped", "t" * 32, False, True), ("open", "t" * 32, None, False),
+             ("ruled", None, None, True), ("ruled out", None, None, False), ("rate", None, None, None)]
+    base = log(spark, *[attempt(1, 10, 30, 200, call=c, trace=t, parent="p" * 16) for c, t, _, _ in facts])
+    rows = base.join(spark.createDataFrame(
+        [(c, s, r) for c, _, s, r in facts], "call_id string, sampled boolean, request_rule boolean"), "call_id")
+    for rate, expected in ((1.0, {"kept", "ruled", "rate"}), (0.0, {"kept", "ruled"})):
+        assert {r["call_id"] for r in calls.sampled_calls(rows, rate).collect()} == expected
+        assert calls.sdk_call_spans(rows, rate=rate).count() == 2 * len(expected)
+        assert calls.sdk_operation_spans(rows, rate=rate).count() == len(expected)
+        assert calls.call_annotations(rows, rate).count() == 2 * len(expected)
+
+
 def test_unfinished_call_has_no_duration(spark):
     rows = log(spark, attempt(1, 10, 30, 500), attempt(2, 40, None, None))
     assert calls.sdk_operation_spans(rows).first()["duration"] is None
@@ -95,7 +115,7 @@ PUBLISH = (
     "local_service string, attributes map<string,string>, "
     "scope struct<trace_id:string,span_id:string,sampled:boolean>"
 )
-HEADER = "Root=1-67891233-abcdef012345678912345678;Parent=463ac35c9f6413ad;Sampled=0;k=v"
+HEADER = "Root=1-65f0c2aa-00112233445566778899aabb;Parent=0f1e2d3c4b5a6978;Sampled=0;k=v"
 
 
 def entry(spark, *rows):
@@ -126,16 +146,27 @@ def test_single_message_continues_its_header(spark):
     rows = publish.inject_message_headers(located).orderBy("entry_id").collect()
     continued, fresh, scoped, flagged = rows
     assert (continued["context"]["trace_id"], continued["context"]["parent_id"]) == (
-        "67891233abcdef012345678912345678", "463ac35c9f6413ad")
+        "65f0c2aa00112233445566778899aabb", "0f1e2d3c4b5a6978")
     assert continued["attributes"] == {
         "t": "1",
-        headers.HEADER_NAME: HEADER.replace("463ac35c9f6413ad", continued["span_id"]),
+        headers.HEADER_NAME: HEADER.replace("0f1e2d3c4b5a6978", continued["span_id"]),
     }
     assert fresh["context"]["parent_id"] is None and fresh["attributes"][headers.HEADER_NAME].endswith("Sampled=1")
     assert scoped["context"]["trace_id"] == "s" * 32 and scoped["context"]["parent_id"] == "9" * 16
     assert flagged["context"]["parent_id"] is None and flagged["sampled"] is False
 
 
+def test_headers_travel_where_they_are_told(spark):
+    """Another column, and two names: the first found is read, both are cleared, the first is written."""
+    names = ("trace", "old-trace")
+    rows = entry(spark, ({"old-trace": HEADER, "t": "1"}, None)).withColumnRenamed("attributes", "meta")
+    located = publish.publish_contexts(rows, carrier="meta", names=names)
+    (row,) = publish.inject_message_headers(located, "meta", names).collect()
+    assert row["context"]["parent_id"] == "0f1e2d3c4b5a6978"
+    assert set(row["meta"]) == {"t", "trace"} and row["span_id"] in row["meta"]["trace"]
+    assert publish.strip_trace_headers(rows, "meta", names).first()["meta"] == {"t": "1"}
+
+
 def test_batch_spans_of_a_batch_need_one_shuffle(spark):
     plan = publish.publish_batch_spans(entry(spark, ({}, None)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1

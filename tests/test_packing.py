@@ -8,7 +8,7 @@ from spanloom.operators import ingest, packing
 from spanloom.plans import inputs
 from spanloom.sources import readers, sinks
 
-LIMIT = 2048
+LIMIT = 16 * 1024
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def mixed(spark):
         if i % 50 == 0:
             tags["note"] = "z" * 900
         if i % 200 == 0:
-            tags["note"] = "z" * 3000
+            tags["note"] = "z" * (20_000 if i % 400 == 0 else 9_000)
         row = {"trace_id": f"{i // 3:032x}", "id": f"{i:016x}", "kind": "CLIENT", "tags": tags,
                "annotations": [], "local_service": f"host{i % 10 if i % 10 < 3 else 9}"}
         rows.append(tuple(row.get(f) for f in schema.SPAN_FIELDS))
@@ -36,7 +36,7 @@ def packed(spans, base64=True, buckets=16):
 
 def test_packed_spans_come_back(spark, mixed, tmp_path):
     result = packed(mixed)
-    assert result.groupBy("packing").count().count() == 3
+    assert result.groupBy("packing").count().count() == 4
     sinks.write_queue_messages(packing.queue_messages(result).select(
         F.col("batch").alias("message_id"), F.lit("r").alias("receipt_handle"),
         F.lit("sqs").alias("transport"), "body", F.lit(None).cast("timestamp").alias("received_at"),
@@ -47,7 +47,10 @@ def test_packed_spans_come_back(spark, mixed, tmp_path):
     lost = packing.oversize_spans(result).select("trace_id", "id")
     sent = mixed.join(lost, ["trace_id", "id"], "left_anti").select(
         "trace_id", "id", "local_service", F.to_json("tags"))
-    assert lost.count() == 5
+    assert lost.count() == 3
+    sinks.write_oversize(packing.oversize_spans(result), str(tmp_path / "lost"))
+    kept = spark.read.parquet(str(tmp_path / "lost"))
+    assert {len(json.loads(r["json"])["tags"]["note"]) for r in kept.collect()} == {20_000}
     assert back.exceptAll(sent).count() == 0 and sent.exceptAll(back).count() == 0
 
 
@@ -59,11 +62,23 @@ def test_every_message_fits(mixed):
             assert r["list_bytes"] <= packing.usable_bytes(LIMIT, base64)
             assert not base64 or len(r["body"]) <= LIMIT
         # no more messages than the running sizes fill, plus the spans that travel alone
-        usable = packing.usable_bytes(LIMIT, base64)
-        step = usable - usable // 2 - 1
-        alone = result.filter(F.col("packing") == packing.ALONE).count()
-        totals = result.filter(F.col("packing") == packing.SHARED).groupBy("pack_key").agg(F.sum("size")).collect()
-        assert len(rows) <= alone + sum(-(-r[1] // step) for r in totals)
+        most = result.filter(F.col("packing") == packing.ALONE).count()
+        for label, part in ((packing.SHARED, packing.SHARED_PART), (packing.LARGE, packing.LARGE_PART)):
+            step = packing.largest_and_step(LIMIT, base64, part)[1]
+            totals = result.filter(F.col("packing") == label).groupBy("pack_key").agg(F.sum("size")).collect()
+            most += sum(-(-r[1] // step) for r in totals)
+        assert len(rows) <= most
+
+
+def test_messages_of_ordinary_spans_are_full(mixed):
+    """All but the last message of a host hold nine tenths of what they may."""
+    for base64 in (True, False):
+        lists = packing.queue_messages(packed(mixed, base64).filter("packing = 'shared'")).collect()
+        last = {}
+        for r in lists:
+            last[r["pack_key"]] = max(last.get(r["pack_key"], 0), int(r["batch"][1:]))
+        full = [r["list_bytes"] for r in lists if int(r["batch"][1:]) < last[r["pack_key"]]]
+        assert len(full) > 5 and sum(full) / len(full) >= 0.9 * packing.usable_bytes(LIMIT, base64)
 
 
 def test_running_size_equals_one_long_sum(mixed):
@@ -71,13 +86,12 @@ def test_running_size_equals_one_long_sum(mixed):
     from spanloom.functions import ids
 
     for buckets in (1, 7):
-        usable = packing.usable_bytes(LIMIT, True)
-        step = usable - usable // 2 - 1
+        largest, step = packing.largest_and_step(LIMIT, True, packing.SHARED_PART)
         keyed = packing.encode_spans(mixed, F.col("local_service")).withColumn(
             "bucket", ids.digest_number(F.col("trace_id"), F.col("id")) % buckets)
         expected, sums = {}, {}
         for r in sorted(keyed.collect(), key=lambda r: (r["bucket"], r["trace_id"], r["id"])):
-            if r["size"] <= usable // 2:
+            if r["size"] <= largest:
                 sums[r["pack_key"]] = sums.get(r["pack_key"], 0) + r["size"]
                 expected[r["id"]] = f"b{(sums[r['pack_key']] - 1) // step}"
         actual = packed(mixed, buckets=buckets).filter("packing = 'shared'").collect()

@@ -109,6 +109,33 @@ def test_dependencies_count_before_the_join(spans):
     assert plan.index("Join") < plan.rindex("Aggregate")
 
 
+@pytest.mark.parametrize("period", store.PERIODS)
+def test_stored_layout_answers_alike_and_prunes(spark, spans, spans_list, tmp_path, period):
+    path = str(tmp_path / "store")
+    day = 86_400_000_000
+    # traces of every third number lie 400 days later
+    shift = F.when(F.conv(F.substring("trace_id", -4, 4), 16, 10).cast("int") % 3 == 0, 400 * day).otherwise(0)
+    moved = spans.withColumn("timestamp", F.col("timestamp") + shift)
+    store.write_spans(moved, path, period)
+    stored = store.read_spans(spark, path, period)
+
+    def same(question):
+        a, b = question(moved), question(stored)
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        return b._jdf.queryExecution().executedPlan().toString()
+
+    window = {"end_ts": 400 * 86_400_000 + 1900, "lookback": 1700}
+    plan = same(lambda s: store.get_traces(s, service="web", min_duration=100, **window))
+    assert f"PartitionFilters: [(isnull({period}" in plan and "EqualTo(local_service,web)" in plan
+    plan = same(lambda s: store.get_dependencies(s, **window))
+    assert f"PartitionFilters: [isnotnull({period}" in plan and "LeftSemi" in plan
+    slack = same(lambda s: store.get_dependencies(s, parent_slack=86_400_000, **window))
+    assert slack.count(f"PartitionFilters: [(isnull({period}") == 1
+    for strict, wanted in ((True, f"{3:032x}"), (False, f"{3:016x}")):
+        plan = same(lambda s: store.get_trace(s, wanted, strict))
+        assert f"EqualTo(trace_low,{wanted[-16:]})" in plan
+
+
 def test_correlation(spark, spans):
     known = f"{5:032x}"
     root = lambda t: f"Root=1-{t[:8]}-{t[8:]}"

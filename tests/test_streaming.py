@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 
 import pytest
@@ -55,16 +54,15 @@ def test_restart_continues_from_the_checkpoint(spark, run_dir):
     assert [deliver("a", "1", "2"), deliver("b", "3")] == [2, 3]
 
 
-def test_windowed_metrics_equal_batch_for_closed_windows(spark, sf_dir, run_dir):
-    routed = ingest.ingest_messages(inputs.messages(inputs.stream_table(spark, sf_dir, "events")))
-    query = state.append_to(state.metrics_stream(routed, length="1 hour", slide="30 minutes"),
-                            f"{run_dir}/out", f"{run_dir}/cp", True)
-    query.awaitTermination()
-    batch = metrics.metrics_by_window(
-        ingest.ingest_messages(inputs.queue_messages(spark, sf_dir)), length="1 hour", slide="30 minutes")
-    newest = inputs.queue_messages(spark, sf_dir).agg(F.max("received_at")).first()[0]
-    closed = batch.filter(F.col("window_end") <= F.lit(newest - dt.timedelta(minutes=10)))
-    assert rows(spark.read.parquet(f"{run_dir}/out").select(batch.columns)) == rows(closed)
+def test_stored_windows_equal_batch_open_ones_included(spark, sf_dir, run_dir):
+    source = inputs.queue_messages(spark, sf_dir)
+    # in order of time, so that no message comes behind the watermark
+    sinks.write_queue_messages(source.repartitionByRange(3, "received_at"), f"{run_dir}/in")
+    routed = ingest.ingest_messages(readers.stream_queue_messages(spark, f"{run_dir}/in", max_batch=1))
+    windows = state.metrics_stream(routed, "400 days", length="1 hour", slide="30 minutes")
+    state.upsert_to(windows, f"{run_dir}/out", f"{run_dir}/cp", True).awaitTermination()
+    batch = metrics.metrics_by_window(ingest.ingest_messages(source), length="1 hour", slide="30 minutes")
+    assert rows(state.newest(spark, f"{run_dir}/out").select(batch.columns)) == rows(batch)
 
 
 @pytest.fixture(params=[{}, session.CLUSTER_SETTINGS], ids=["memory", "cluster"])
@@ -132,6 +130,14 @@ def test_calls_are_paired_across_micro_batches(spark, run_dir):
     assert a["duration"] == 4 * second
     assert "error" not in a["tags"]
     assert b["duration"] is None
+    # parts of calls by micro-batch: the same as the whole table, unfinished and slow calls included
+    everything = [e for batch in arrivals for e in batch] + [event("b", 90_000, 1, 1, 200)]
+    spark.createDataFrame(everything[-1:], EVENT).coalesce(1).write.mode("append").parquet(stream_in)
+    events = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(stream_in)
+    state.stream_call_parts(events, f"{run_dir}/parts", f"{run_dir}/cp-parts", True).awaitTermination()
+    stored = state.stored_calls(spark, f"{run_dir}/parts")
+    assert rows(stored) == rows(state.pair_call_events(spark.createDataFrame(everything, EVENT)))
+    assert {r["duration"] for r in stored.collect()} == {4 * second, 89_998 * second, second}
     # the same events as a table: a gap of any length leaves one span
     slow = spark.createDataFrame([event("s", 1, 1, 0), event("s", 9_000, 1, 1, 200)], EVENT)
     (span,) = state.pair_call_events(slow).collect()
