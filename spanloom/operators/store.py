@@ -97,7 +97,7 @@ def _matches(
         wanted.append(F.col("duration") >= min_duration)
     if max_duration is not None:
         wanted.append(F.col("duration") <= max_duration)
-    return F.coalesce(reduce(Column.__and__, wanted), F.lit(False))
+    return reduce(Column.__and__, wanted)
 
 
 def find_traces(
