@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import (
-    bloom_sketch, chains, chat, decontaminate, licenses, pieces, quality, secrets, simhash,
-    token_counts,
+    bloom_sketch, centroids, chains, chat, decontaminate, licenses, personal, pieces, quality, secrets,
+    simhash, token_counts, whitening,
 )
 from spanloom.llm.common import prepare, table
 
@@ -126,6 +126,48 @@ def op10_secrets(spark, sf_dir):
     )
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(rows)
+    if model is None:
+        return spark.createDataFrame([], _WHITENED)
+    error = whitening.identity_error(rows, model)
+    found = whitening.by_component(whitening.transform(rows, model), model, error)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long")).withColumnRenamed(
+        "id", "vec_id"
+    )
+
+
+_WHITENED = (
+    "vec_id long, component int, n long, deviation long, whitened double, explained double, "
+    "identity_error double"
+)
+
+
+@query
+def op12_personal(spark, sf_dir):
+    found = personal.find(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(personal.of_kind(F.col("spans"), kind)).cast("long")
+
+    base = personal.of_kind(F.col("spans"), *range(4))
+    return found.select(
+        F.col("id").alias("doc_id"), count(personal.EMAIL).alias("n_email"),
+        count(personal.IP).alias("n_ip"), count(personal.CARD).alias("n_card"),
+        count(personal.PHONE).alias("n_phone"), F.sha2(personal.listed(base), 256).alias("base_sha256"),
+        personal.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op13_centroids(spark, sf_dir):
+    vectors = centroids.scaled(table(spark, sf_dir, "embeddings"))
+    found = centroids.with_inertia(*centroids.cluster(vectors))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
