@@ -34,21 +34,28 @@ def _trace_low(trace_id: Column) -> Column:
     return F.substring(trace_id, -TRACE_LOW_DIGITS, TRACE_LOW_DIGITS)
 
 
-def write_spans(spans: DataFrame, path: str, period: str = "day") -> None:
-    """A folder per period, in it files of neighbouring traces, sorted.
-
-    Choose the period by what it holds: a folder should fill some files.  The ranges go down to the
-    span, so a trace with a third of all spans is spread as well.
-    """
+def lay_out(spans: DataFrame, period: str = "day") -> DataFrame:
+    """Spans with the columns of the layout in front of whatever else they have."""
     if period not in PERIODS:
         raise ValueError(f"period must be one of {PERIODS}")
-    laid_out = spans.select(*schema.SPAN_FIELDS).withColumns({
+    return spans.withColumns({
         TRACE_LOW: _trace_low(F.col("trace_id")), period: _first_day(period, F.col("timestamp")),
     })
+
+
+def write_spans(
+    spans: DataFrame, path: str, period: str = "day", files: int | None = None, more: tuple[str, ...] = ()
+) -> None:
+    """A folder per period, in it files of neighbouring traces, sorted.
+
+    Choose the period by what it holds: a folder should fill some files.  The ranges go down to the
+    span, so a trace with a third of all spans is spread as well.  ``files`` is the number of ranges,
+    as many as the session shuffles into by default; ``more`` names further columns to keep.
+    """
+    laid_out = lay_out(spans.select(*schema.SPAN_FIELDS, *more), period)
     order = [period, TRACE_LOW, "trace_id", "id"]
-    laid_out.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
-        "overwrite"
-    ).partitionBy(period).parquet(path)
+    ranged = laid_out.repartitionByRange(files, *order) if files else laid_out.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(period).parquet(path)
 
 
 def read_spans(spark: SparkSession, path: str, period: str = "day") -> DataFrame:

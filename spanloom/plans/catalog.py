@@ -18,7 +18,7 @@ from spanloom.plans import inputs
 from spanloom.plans.dialect import SPARK
 from spanloom.sources import readers, sinks
 from spanloom.streaming import ingest as stream_jobs
-from spanloom.streaming import state
+from spanloom.streaming import pairing, state, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -756,6 +756,59 @@ def pair_call_events_stream(spark, sf_dir):
     return _operation_flat(state.stored_calls(spark, f"{run}/out"))
 
 
+@query
+def pair_call_events_timed(spark, sf_dir):
+    """The same with keyed state and timers, over micro-batches of neighbouring times.
+
+    A last event far in the future lets all timers go off; its own call is left out.
+    """
+    run = session.new_run_dir(spark, "timed-pairing")
+    events = calls.call_events(inputs.attempts(spark, sf_dir))
+    for part, staged in enumerate((
+        events.repartitionByRange(4, "event.timestamp"),
+        events.orderBy("event.timestamp").limit(1).withColumns({
+            "call_id": F.lit(_LAST_CALL),
+            "event": F.col("event").withField("timestamp", F.lit(END_TS * 1000).cast("bigint")),
+        }),
+    )):
+        staged.write.parquet(f"{run}/in/part={part}")
+        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/*")
+        pairing.stream_calls(arriving, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
+    merged = calls.merge_parts(pairing.paired(spark, f"{run}/out"))
+    return _operation_flat(calls.part_spans(merged.filter(F.col("call_id") != _LAST_CALL)))
+
+
+_LAST_CALL = "last"
+
+
+def _deliveries(spark, sf_dir, run: str, times: int, files: int) -> DataFrame:
+    """All messages some times over, as a stream of as many micro-batches as there are files."""
+    messages = inputs.queue_messages(spark, sf_dir)
+    for delivery in range(times):
+        sinks.write_queue_messages(messages.repartition(files, "message_id"), f"{run}/in/{delivery}")
+    return readers.stream_queue_messages(spark, f"{run}/in/*", max_batch=1)
+
+
+@query
+def stream_store(spark, sf_dir):
+    """Six micro-batches stored, merged on the way, read as of the latest snapshot."""
+    run = session.new_run_dir(spark, "stream-store")
+    routed = ingest.ingest_messages(_deliveries(spark, sf_dir, run, 1, 6))
+    sink = stored.compacting_sink(f"{run}/out", period="year", fan_in=2)
+    stream_jobs.run(routed, sink, f"{run}/checkpoint", True).awaitTermination()
+    return _decoded(stored.read_spans(spark, f"{run}/out", "year"))
+
+
+@query
+def dedup_spans_store(spark, sf_dir):
+    """Every message delivered twice; the store takes no span a second time, however late it comes."""
+    run = session.new_run_dir(spark, "dedup-store")
+    routed = ingest.ingest_messages(_deliveries(spark, sf_dir, run, 2, 3))
+    sink = stored.compacting_sink(f"{run}/out", period="year", fan_in=2, unique=True)
+    stream_jobs.run(routed, sink, f"{run}/checkpoint", True).awaitTermination()
+    return _decoded(stored.read_spans(spark, f"{run}/out", "year"))
+
+
 @query
 def max_batch(spark, sf_dir):
     """Messages in twelve files, at most three files a micro-batch."""

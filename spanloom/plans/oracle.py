@@ -521,6 +521,9 @@ def oracle_sql() -> dict[str, str]:
         "metrics_by_window_stream": TUMBLING,
         "pair_call_events": EVENT_SPANS_OF_CALLS,
         "pair_call_events_stream": EVENT_SPANS_OF_CALLS,
+        "pair_call_events_timed": EVENT_SPANS_OF_CALLS,
+        "stream_store": EVENT_SPANS,
+        "dedup_spans_store": EVENT_SPANS,
         "max_batch": """select cast(ceil(count(distinct part) / 3.0) as bigint) as batches, sum(n)::bigint as messages,
             sum(accepted)::bigint as accepted from (
               select x as part, count(*) as n, count(*) filter (where event_id % 8 in (0, 1, 6)) as accepted

@@ -1,0 +1,183 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from spanloom import schema, session
+from spanloom.operators import ingest, membership, store
+from spanloom.plans import inputs
+from spanloom.sources import files, readers, sinks
+from spanloom.streaming import ingest as jobs
+from spanloom.streaming import stored
+
+
+@pytest.fixture
+def out(spark):
+    return session.new_run_dir(spark, "stored")
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def put(spark, out, number, ids, sink=None):
+    body = json.dumps([{"traceId": f"{i + 1:032x}", "id": f"{i + 1:016x}", "timestamp": 86_400_000_000 * (1 + i % 3)} for i in ids])
+    messages = spark.createDataFrame([(str(number), "r", "sqs", body, None)], schema.QUEUE_MESSAGE)
+    (sink or jobs.folder_sink(out))(ingest.ingest_messages(messages), number)
+
+
+def ids_of(df):
+    return sorted(int(r["id"], 16) - 1 for r in df.select("id").collect())
+
+
+def test_levels_and_files_stay_few(spark, out):
+    sink = stored.compacting_sink(out, fan_in=2)
+    for n in range(9):
+        put(spark, out, n, [2 * n, 2 * n + 1], sink)
+    state = stored.snapshot(spark, out)
+    assert [(r.first, r.last, r.level) for r in state.runs] == [(0, 7, 2)] and state.fresh == (8,)
+    assert ids_of(stored.read_spans(spark, out)) == list(range(18))
+    assert stored.read_table(spark, out, "outcomes").count() == 9
+    # a range a run, cut where the day changes
+    assert len(files.matching(spark, f"{out}/merged/spans/run=from0-to7-*/*/*.parquet")) == 3
+
+
+def test_reader_of_an_old_snapshot_and_removal(spark, out):
+    for n in range(4):
+        put(spark, out, n, [n])
+    before = stored.snapshot(spark, out)
+    reader = stored.read_spans(spark, out, state=before)
+    after = stored.compact(spark, out, fan_in=4)
+    assert before.fresh == (0, 1, 2, 3) and after.fresh == () and after.covered == 3
+    assert ids_of(reader) == ids_of(stored.read_spans(spark, out)) == [0, 1, 2, 3]
+    put(spark, out, 4, [4])
+    gone = stored.remove_merged(spark, out)
+    assert len(gone) == 3 * 4 and not files.exists(spark, f"{out}/spans/batch=0")
+    assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2, 3, 4]
+    assert stored.read_table(spark, out, "outcomes").count() == 5
+    assert {r["batch"] for r in stored.read_table(spark, out, "outcomes").collect()} == {0, 1, 2, 3, 4}
+
+
+def test_a_merge_that_dies_is_made_again(spark, out, monkeypatch):
+    for n in range(3):
+        put(spark, out, n, [n])
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(stored, "_commit", die)
+        with pytest.raises(OSError):
+            stored.compact(spark, out, fan_in=3)
+    # the folder is there, but no snapshot names it
+    assert files.matching(spark, f"{out}/merged/spans/*")
+    assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2]
+    stored.compact(spark, out, fan_in=3)
+    assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2]
+
+
+def test_unfinished_and_repeated_micro_batches(spark, out):
+    for n in range(3):
+        put(spark, out, n, [n])
+    # spans of batch 3 are written, its outcomes are not
+    stored.fresh_spans(spark, out, stored.snapshot(spark, out)).select(*schema.SPAN_FIELDS).write.parquet(f"{out}/spans/batch=3")
+    assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2]
+    sink = stored.compacting_sink(out, fan_in=3)
+    for _ in range(2):
+        put(spark, out, 3, [3, 4], sink)
+        assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2, 3, 4]
+    assert stored.snapshot(spark, out).covered == 2
+
+
+def test_empty_store(spark, out):
+    assert stored.read_spans(spark, out).count() == 0
+    assert stored.read_table(spark, out, "outcomes") is None
+    assert stored.compact(spark, out).runs == () and stored.remove_merged(spark, out) == []
+
+
+def test_questions_prune_what_is_merged(spark, out):
+    for n in range(4):
+        put(spark, out, n, range(10 * n, 10 * n + 10))
+    stored.compact(spark, out, fan_in=4)
+    spans = stored.read_spans(spark, out)
+    found = store.get_trace(spans, f"{7:032x}")
+    assert ids_of(found) == [6]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "trace_low" in plan and "PushedFilters: [IsNotNull(trace_low)" in plan
+    day = 86_400_000
+    traces = store.get_traces(spans, end_ts=day + 1, lookback=10, limit=100)
+    assert ids_of(traces) == [i for i in range(40) if i % 3 == 0]
+    plan = traces._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((isnull(day" in plan or "PartitionFilters: [(isnull(day" in plan
+
+
+def test_stream_store_equals_batch(spark, sf_dir, out):
+    source = inputs.queue_messages(spark, sf_dir)
+    sinks.write_queue_messages(source.repartition(6, "message_id"), f"{out}/in")
+    arriving = readers.stream_queue_messages(spark, f"{out}/in", max_batch=1)
+    sink = stored.compacting_sink(f"{out}/out", fan_in=2)
+    jobs.run(ingest.ingest_messages(arriving), sink, f"{out}/cp", True).awaitTermination()
+    routed = ingest.ingest_messages(source)
+    found = stored.read_spans(spark, f"{out}/out").select(*schema.SPAN_FIELDS)
+    assert rows(found) == rows(ingest.decode_spans(routed).select(*schema.SPAN_FIELDS))
+    rejected = stored.read_table(spark, f"{out}/out", "quarantine").count()
+    assert rejected == routed.filter("outcome <> 'accepted'").count()
+
+
+# ---------------------------------------------------------------- duplicates
+
+
+def test_filters_hold_all_keys_and_few_others(spark):
+    keys = spark.range(4000).select((F.col("id") % 3).cast("int").alias("day"), "id")
+    keys = keys.withColumn("day", F.when(F.col("day") < 2, F.col("day")))
+    blocks = membership.sizes(keys, "day").withColumn("run", F.lit("a"))
+    filters = membership.build(keys, "day", "id", blocks).withColumn("run", F.lit("a"))
+    assert filters.count() == blocks.agg(F.sum("blocks")).first()[0]
+
+    def hits(asked):
+        return membership.probe(asked, filters, blocks, "day", "id", ["run"]).count()
+
+    assert hits(keys) == 4000
+    other = keys.withColumn("id", F.col("id") + 1_000_000)
+    assert hits(other) < 40
+    assert hits(keys.withColumn("day", F.lit(7))) == 0
+
+
+@pytest.mark.parametrize("per_block", [membership.KEYS_PER_BLOCK, 10**9])
+def test_late_copies_are_dropped(spark, out, monkeypatch, per_block):
+    """With one block a filter nearly everything looks present; rows are the same."""
+    monkeypatch.setattr(membership.sizes, "__defaults__", (per_block,))
+    sink = stored.compacting_sink(out, fan_in=2, unique=True)
+    for n, ids in enumerate([[0, 1], [2, 3, 3], [0, 4], [1, 5, 2], [5, 4, 6]]):
+        put(spark, out, n, ids, sink)
+    assert stored.snapshot(spark, out).covered == 3
+    assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2, 3, 4, 5, 6]
+    for _ in range(2):  # repeated
+        put(spark, out, 5, [0, 7, 6], sink)
+    assert ids_of(stored.read_spans(spark, out)) == [0, 1, 2, 3, 4, 5, 6, 7]
+
+
+def test_copies_differ_by_content_and_undated_ones_count(spark, out, make_spans):
+    base = {"trace_id": "1" * 32, "id": "2" * 16, "tags": {"a": "b"}}
+    first = make_spans(base, {**base, "kind": "CLIENT"}, {**base, "timestamp": 5})
+    for n in range(2):
+        put(spark, out, n, [n])
+    first.write.mode("overwrite").parquet(f"{out}/spans/batch=1")
+    stored.compact(spark, out, fan_in=2)
+    again = make_spans(base, {**base, "message_id": "other"}, {**base, "kind": "SERVER"}, {**base, "tags": {}}, {**base, "timestamp": 6})
+    state = stored.snapshot(spark, out)
+    found = stored.unseen(spark, again, out, state).collect()
+    assert sorted((r["kind"] or "", r["timestamp"] or 0, len(r["tags"])) for r in found) == [
+        ("", 0, 0), ("", 6, 1), ("SERVER", 0, 1)]
+    assert stored.unseen(spark, again.limit(0), out, state).count() == 0
+
+
+def test_only_the_periods_of_a_micro_batch_are_probed(spark, out):
+    for n in range(2):
+        put(spark, out, n, range(30 * n, 30 * n + 30))
+    state = stored.compact(spark, out, fan_in=2)
+    day = stored.read_spans(spark, out).filter("timestamp = 86400000000")
+    found = stored.unseen(spark, day.select(*schema.SPAN_FIELDS), out, state)
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [day#") + plan.count("PartitionFilters: [isnotnull(day") > 0
