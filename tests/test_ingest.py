@@ -32,7 +32,7 @@ BODIES = [
     (base64.b64encode(listed(SPAN).encode()).decode(), "accepted"),
     (base64.b64encode(listed({**SPAN, "name": "💩"}).encode()).decode().rstrip("="), "accepted"),
     ("[ ]", "accepted"),
-    ("[not going to work]", "malformed"),
+    ("[three spans, none of them JSON]", "malformed"),
     (listed(SPAN, {"traceId": "zz"}), "malformed"),
     (listed(SPAN, {"traceId": "1"}), "malformed"),
     (listed({**SPAN, "timestamp": "soon"}), "malformed"),
@@ -66,7 +66,7 @@ def test_deletes_and_counts(spark):
 def test_metrics_count_after_unwrapping(spark):
     one = listed(SPAN)
     routed = ingest.ingest_messages(messages(
-        spark, one, base64.b64encode(one.encode()).decode(), "[not going to work]", "!!", ""))
+        spark, one, base64.b64encode(one.encode()).decode(), "[three spans, none of them JSON]", "!!", ""))
     row = metrics.collector_metrics(routed).first()
     assert row.asDict() == {
         "transport": "sqs", "messages": 3, "bytes": 2 * len(one) + 19, "messages_dropped": 1, "spans": 2,
