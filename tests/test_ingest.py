@@ -64,12 +64,12 @@ def test_deletes_and_counts(spark):
 
 
 def test_metrics_count_after_unwrapping(spark):
-    one = listed(SPAN)
+    one, bad = listed(SPAN), "[three spans, none of them JSON]"
     routed = ingest.ingest_messages(messages(
-        spark, one, base64.b64encode(one.encode()).decode(), "[three spans, none of them JSON]", "!!", ""))
+        spark, one, base64.b64encode(one.encode()).decode(), bad, "!!", ""))
     row = metrics.collector_metrics(routed).first()
     assert row.asDict() == {
-        "transport": "sqs", "messages": 3, "bytes": 2 * len(one) + 19, "messages_dropped": 1, "spans": 2,
+        "transport": "sqs", "messages": 3, "bytes": 2 * len(one) + len(bad), "messages_dropped": 1, "spans": 2,
     }
 
 
