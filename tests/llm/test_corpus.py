@@ -34,6 +34,56 @@ def test_shared_passages(make_docs, clashing):
     assert chains.shared_passages(make_docs(*rows).limit(0)).count() == 0
 
 
+def brute_passages(texts, words=50, identity=0.8):
+    """All pairs of texts with a passage, words replaced only: every diagonal of every pair."""
+    found = set()
+    for b in texts:
+        for a in texts:
+            if a >= b:
+                continue
+            x, y = texts[a], texts[b]
+            for shift in range(-len(y) + words, len(x) - words + 1):
+                overlap = [p == q for p, q in zip(x[max(shift, 0):], y[max(-shift, 0):], strict=False)]
+                total = np.concatenate([[0], np.cumsum(overlap)])
+                if len(overlap) >= words and (total[words:] - total[:-words]).max() >= identity * words:
+                    found.add((b, a))
+    return found
+
+
+@pytest.mark.parametrize("every,length,least", [
+    (0, 50, 1.0), (20, 60, 0.95), (12, 60, 0.9), (10, 60, 0.9), (8, 60, 0.8), (10, 100, 0.9), (8, 100, 0.9), (6, 100, 0.75),
+])
+def test_recall_of_edited_passages(make_docs, every, length, least):
+    texts = {}
+    for n in range(30):
+        passage = prose(1000 * every + n, length)
+        copy = [f"x{i}" if every and i % every == every - 1 else w for i, w in enumerate(passage)]
+        texts[2 * n] = prose(f"a{n}", 20) + passage + prose(f"b{n}", 20)
+        texts[2 * n + 1] = prose(f"c{n}", 30) + copy + prose(f"d{n}", 10)
+    wanted = {(2 * n + 1, 2 * n) for n in range(30)}
+    some = {i: t for i, t in texts.items() if i < 8}
+    assert brute_passages(some) == {p for p in wanted if p[0] < 8}
+    rows = chains.shared_passages(make_docs(*[(i, " ".join(t)) for i, t in texts.items()])).collect()
+    found = {(r.doc_id, r.anchor_id) for r in rows}
+    assert found <= wanted and len(found) >= least * len(wanted)
+
+
+def test_passages_whose_parts_stand_earlier(make_docs):
+    texts = {}
+    for n in range(12):
+        at, passage = 10 * n, prose(f"p{n}", 60)
+        cuts = [0, 30, 60] if n % 2 else [0, 20, 40, 60]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            texts[at + i] = prose(f"{at}{i}", 25) + passage[a:b] + prose(f"e{at}{i}", 25)
+        for i in (5, 6, 7):
+            texts[at + i] = prose(f"{at}{i}", 15) + passage + prose(f"e{at}{i}", 15)
+    rows = chains.shared_passages(make_docs(*[(i, " ".join(t)) for i, t in texts.items()])).collect()
+    found = {(r.doc_id, r.anchor_id) for r in rows}
+    assert found <= brute_passages(texts)
+    for n in range(12):
+        assert {(10 * n + 6, 10 * n + 5), (10 * n + 7, 10 * n + 5)} <= found
+
+
 def brute_chain(x, y, k, cost):
     score = []
     for i in range(len(x)):
