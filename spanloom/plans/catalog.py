@@ -12,7 +12,7 @@ from spanloom.functions import calls as call_fields
 from spanloom.functions import headers, hosts, ids, payload, sampling
 from spanloom.functions import segment as seg
 from spanloom.operators import (
-    calls, dedup, ingest, metrics, packing, publish, segments, store,
+    calls, dedup, ingest, links, metrics, packing, publish, segments, store,
 )
 from spanloom.plans import inputs
 from spanloom.plans.dialect import SPARK
@@ -640,6 +640,12 @@ def get_dependencies(spark, sf_dir):
     return store.get_dependencies(_store(spark, sf_dir), END_TS, LOOKBACK)
 
 
+@query
+def service_links(spark, sf_dir):
+    """Links to the nearest ancestor of another service."""
+    return links.service_links(_store(spark, sf_dir), END_TS, LOOKBACK)
+
+
 @query
 def correlate_logs(spark, sf_dir):
     joined = store.correlate_logs(inputs.request_logs(spark, sf_dir), _store(spark, sf_dir))

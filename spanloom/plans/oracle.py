@@ -309,6 +309,41 @@ CONTEXT = "case when root is null then 'flags' when parent is null then 'trace_i
 
 STORE = f"with {UNIQUE}"
 FLAT = "trace_id, parent_id, id, kind, name, timestamp, duration, local_service, remote_service"
+LINKED = f"""{STORE.replace("with ", "with recursive ", 1)},
+ends as (
+  select trace_id, id, coalesce(kind in ('SERVER', 'CONSUMER'), false) as incoming, local_service as service,
+    remote_service as remote, parent_id, kind, timestamp,
+    error is not null or coalesce(try_cast("http.status_code" as integer) >= 500, false) as failed
+  from uniq
+  qualify row_number() over (partition by trace_id, id, incoming
+    order by service nulls first, remote nulls first, parent_id nulls first, kind nulls first,
+      timestamp nulls first, failed) = 1),
+halves as (select *, count(*) over (partition by trace_id, id) = 2 as shared from ends),
+nodes as (
+  select trace_id, case when shared and not incoming then id || '/caller' else id end as node,
+    case when shared and incoming then id || '/caller' else parent_id end as up,
+    service, remote, kind, timestamp, failed, shared and not incoming as answered
+  from halves),
+walk as (
+  select trace_id, node, service as own, up from nodes where up is not null
+  union
+  select w.trace_id, w.node, w.own, n.up from walk w join nodes n on n.trace_id = w.trace_id and n.node = w.up
+  where (n.service is null or n.service = w.own) and n.up is not null),
+callers as (
+  select w.trace_id, w.node, n.service as caller
+  from walk w join nodes n on n.trace_id = w.trace_id and n.node = w.up
+  where n.service is not null and (w.own is null or n.service <> w.own)),
+calls as (
+  select coalesce(c.caller, n.remote) as parent, n.service as child, failed
+  from nodes n left join callers c on n.trace_id = c.trace_id and n.node = c.node
+  where n.kind in ('SERVER', 'CONSUMER') and n.service is not null
+    and n.timestamp between {(catalog.END_TS - catalog.LOOKBACK) * 1000} and {catalog.END_TS * 1000}
+  union all
+  select coalesce(n.service, c.caller), n.remote, failed
+  from nodes n left join callers c on n.trace_id = c.trace_id and n.node = c.node
+  where n.kind in ('CLIENT', 'PRODUCER') and n.remote is not null and not n.answered
+    and n.timestamp between {(catalog.END_TS - catalog.LOOKBACK) * 1000} and {catalog.END_TS * 1000}
+    and not exists (select 1 from nodes k where k.trace_id = n.trace_id and k.up = n.node))"""
 LOGGED = f"""{STORE},
 logs as ({inputs.REQUEST_LOGS_SQL}),
 summary as (select trace_id, count(*) as span_count, min(timestamp) as first_ts from uniq group by trace_id),
@@ -491,6 +526,9 @@ def oracle_sql() -> dict[str, str]:
             where c.kind is not null and c.timestamp is not null and p.local_service is not null
               and case when c.kind in ('CLIENT', 'PRODUCER') then c.remote_service else c.local_service end is not null
             group by 1, 2""",
+        "service_links": f"""{LINKED}
+            select parent, child, count(*) as call_count, count(*) filter (where failed) as error_count
+            from calls where parent <> child group by 1, 2""",
         "correlate_logs": f"{LOGGED} select * from joined",
         "untraced_requests": f"{LOGGED} select request_id, state from joined where state <> 'traced'",
         # regions
