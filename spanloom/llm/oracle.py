@@ -63,6 +63,7 @@ WITH docs AS (
 ), owned AS (
   SELECT value FROM base JOIN docs USING (row) GROUP BY value
   HAVING count(DISTINCT owner) < {secrets.EXAMPLE_OWNERS}
+    AND count(DISTINCT repository) < {secrets.EXAMPLE_REPOSITORIES}
     AND len(list_distinct(string_split(value, ''))) >= {secrets.LIVE_CHARACTERS}
 ), spans AS (
   SELECT * FROM base

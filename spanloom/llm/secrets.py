@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, told apart by who owns them across the corpus.
 
 Every candidate value is counted by the distinct repositories and owners it occurs in.  A value that
-many owners hold is a copied example; one that few hold and that is varied enough to be a real key
-looks live.  Built-in functions only: matches and the gaps between them give the positions.
+many owners or many repositories hold is a copied example; one that few hold and that is varied enough to be
+a real key looks live.  Built-in functions only: matches and the gaps between them give the positions.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ _QUICK_ASSIGN = (
     r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{8}"
 )
 
-#: Values of so many owners are examples; live ones have at least so many different characters.
+#: Values of so many owners, or of so many repositories of fewer owners, are examples; live ones have at least
+#: so many different characters.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 6
 LIVE_CHARACTERS = 8
 MASK = "[SECRET]"
 
@@ -86,7 +88,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
     """Per value digest: ``n_repositories``, ``n_owners``, ``n_found``, ``verdict``.
 
     ``candidates`` has ``digest``, ``varied``, ``repository``, ``owner``, any number of times.  A
-    null owner counts as one owner.
+    null owner counts as one owner, a null repository as one repository.
     """
     def named(c):
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -96,7 +98,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
         F.count_distinct(named("owner")).alias("n_owners"),
         F.count(F.lit(1)).alias("n_found"),
     )
-    verdict = F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example").when(
+    copied = (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
+    verdict = F.when(copied, "example").when(
         F.col("varied"), "live"
     ).otherwise("plain")
     return counted.withColumn("verdict", verdict)
@@ -135,7 +138,7 @@ def scan(
     """``doc_id``, ``base`` and ``live`` spans per row; null and empty texts have none.
 
     Texts are read once; what goes on is a row of spans per document.  Only spans of one document
-    are ever gathered.
+    are ever gathered.  Rows of one ID and null IDs are rows of their own.
     """
     scanned = stored(
         docs.select(

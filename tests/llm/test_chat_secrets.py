@@ -84,6 +84,22 @@ def test_owners_tell_examples_from_live_values(make_docs):
     assert masked == {i: t for i, t, _ in rows} | {20: f"a token=[SECRET] b {shared}"}
 
 
+def test_repositories_tell_examples_from_live_values(make_docs):
+    """One value in many repositories of two owners, one in as many texts of one repository."""
+    spread, own = "token=Spr34dWidely_99", "token=Own3d0nlyHere_77"
+    rows = [(i, f"a {spread} b {own if i % 7 == 0 else ''}", f"s{i % 2}/r{i % 7}") for i in range(20)]
+    docs = make_docs(*rows)
+    found = secrets.scan(docs, F.substring_index("source", "/", 1), F.col("source")).collect()
+    assert {r.doc_id for r in found if r.live} == {0, 7, 14}
+    assert {s.value for r in found for s in r.live} == {"Own3d0nlyHere_77"}
+    candidates = docs.select(
+        F.lit("d").alias("digest"), F.lit(True).alias("varied"), F.col("source").alias("repository"),
+        F.substring_index("source", "/", 1).alias("owner"),
+    )
+    r = secrets.ownership(candidates).first()
+    assert (r.n_repositories, r.n_owners, r.n_found, r.verdict) == (14, 2, 20, "example")
+
+
 def test_digest_of_spans(spark, make_docs, tmp_path):
     make_docs((1, "password=abcdefgh1 " + "0a" * 16)).write.parquet(f"{tmp_path}/documents.parquet")
     r = catalog.queries()["op10_secrets"](spark, str(tmp_path)).first()
