@@ -131,7 +131,7 @@ def service_links(spans: DataFrame, end_ts: int, lookback: int) -> DataFrame:
     """
     start, end = (end_ts - lookback) * 1000, end_ts * 1000
     known = spans.filter(F.col("trace_id").isNotNull() & F.col("id").isNotNull())
-    recent = store._between(known, start, end, undated=False).select("trace_id").distinct()
+    recent = store.between(known, start, end, undated=False).select("trace_id").distinct()
     nodes = _kept(_nodes(known.join(recent, "trace_id", "left_semi")), "nodes")
     callers = _callers(nodes).select(
         F.col("trace_id").alias("_trace"), F.col("node").alias("_node"), F.col("service").alias("_caller")

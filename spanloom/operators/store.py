@@ -58,11 +58,15 @@ def write_spans(
     ranged.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(period).parquet(path)
 
 
-def read_spans(spark: SparkSession, path: str, period: str = "day") -> DataFrame:
-    return spark.read.schema(f"{schema.SPAN}, {TRACE_LOW} string, {period} date").parquet(path)
+def read_spans(
+    spark: SparkSession, path: str, period: str = "day", only: list[str] | None = None
+) -> DataFrame:
+    """The stored spans, or those of some files ``only``."""
+    read = spark.read.schema(f"{schema.SPAN}, {TRACE_LOW} string, {period} date").option("basePath", path)
+    return read.parquet(*(only or [path]))
 
 
-def _between(spans: DataFrame, start: int | None, end: int | None, undated: bool) -> DataFrame:
+def between(spans: DataFrame, start: int | None, end: int | None, undated: bool) -> DataFrame:
     """Spans of a time in microseconds, both ends included; ``undated`` keeps those without one."""
 
     def within(value: Column, low: Column, high: Column) -> Column:
@@ -82,12 +86,12 @@ def _between(spans: DataFrame, start: int | None, end: int | None, undated: bool
     return found
 
 
-def _plain(spans: DataFrame) -> DataFrame:
+def plain(spans: DataFrame) -> DataFrame:
     """Without the columns of the layout."""
     return spans.drop(TRACE_LOW, *PERIODS)
 
 
-def _matches(
+def matches(
     service: str | None, span_name: str | None, tags: dict[str, str | None] | None,
     min_duration: int | None, max_duration: int | None,
 ) -> Column:
@@ -119,8 +123,8 @@ def find_traces(
     alone.  The conditions reach that scan; only candidates are timed.
     """
     start, end = (end_ts - lookback) * 1000, end_ts * 1000
-    recent = _between(spans, start, None, undated=True)
-    hit = _matches(service, span_name, tags, min_duration, max_duration)
+    recent = between(spans, start, None, undated=True)
+    hit = matches(service, span_name, tags, min_duration, max_duration)
     candidates = recent.filter(hit).select("trace_id").distinct()
     # what came before the window rules a trace out, so all spans of the candidates count here
     per_trace = spans.select("trace_id", "timestamp").join(
@@ -139,8 +143,8 @@ def get_traces(spans: DataFrame, limit: int = 10, **query) -> DataFrame:
     found = find_traces(spans, limit=limit, **query).select("trace_id")
     if limit <= MAX_BROADCAST_TRACES:
         found = F.broadcast(found)
-    recent = _between(spans, (query["end_ts"] - query["lookback"]) * 1000, None, undated=True)
-    return _plain(recent.join(found, "trace_id", "left_semi"))
+    recent = between(spans, (query["end_ts"] - query["lookback"]) * 1000, None, undated=True)
+    return plain(recent.join(found, "trace_id", "left_semi"))
 
 
 def get_trace(spans: DataFrame, trace_id: str, strict: bool = True) -> DataFrame:
@@ -150,7 +154,7 @@ def get_trace(spans: DataFrame, trace_id: str, strict: bool = True) -> DataFrame
     match = low == wanted[-TRACE_LOW_DIGITS:].rjust(TRACE_LOW_DIGITS, "0")
     if strict:
         match = match & (F.col("trace_id") == wanted)
-    return _plain(spans.filter(match)).orderBy(F.col("timestamp").asc_nulls_first(), "id", "kind")
+    return plain(spans.filter(match)).orderBy(F.col("timestamp").asc_nulls_first(), "id", "kind")
 
 
 def get_service_names(spans: DataFrame) -> DataFrame:
@@ -179,7 +183,7 @@ def get_dependencies(
     status = F.col("tags")["http.status_code"].try_cast("int")
     failed = F.col("tags")["error"].isNotNull() | F.coalesce(status >= 500, F.lit(False))
     children = (
-        _between(spans, start, end, undated=False).filter(F.col("parent_id").isNotNull())
+        between(spans, start, end, undated=False).filter(F.col("parent_id").isNotNull())
         .select(
             "trace_id",
             F.col("parent_id").alias("id"),
@@ -193,7 +197,7 @@ def get_dependencies(
     )
     # an ID shared by both ends of a call belongs to its server side
     side = F.when(incoming, F.lit(0)).otherwise(F.lit(1))
-    possible = spans if parent_slack is None else _between(
+    possible = spans if parent_slack is None else between(
         spans, start - parent_slack * 1000, end + parent_slack * 1000, undated=True
     )
     parents = keep_first(

@@ -12,7 +12,7 @@ from spanloom.functions import calls as call_fields
 from spanloom.functions import headers, hosts, ids, payload, sampling
 from spanloom.functions import segment as seg
 from spanloom.operators import (
-    calls, dedup, ingest, links, metrics, packing, publish, segments, store,
+    calls, dedup, ingest, links, metrics, packing, postings, publish, segments, store,
 )
 from spanloom.plans import inputs
 from spanloom.plans.dialect import SPARK
@@ -602,11 +602,15 @@ def partition_key(spark, sf_dir):
 # ---------------------------------------------------------------- trace store
 
 
-def _store(spark, sf_dir) -> DataFrame:
-    """The trace store: delivered spans, without duplicates, as a table of a folder a year."""
+def _written_store(spark, sf_dir) -> str:
     path = session.new_run_dir(spark, "store")
     store.write_spans(dedup.dedup_spans(inputs.delivered_spans(spark, sf_dir)), path, "year")
-    return store.read_spans(spark, path, "year")
+    return path
+
+
+def _store(spark, sf_dir) -> DataFrame:
+    """The trace store: delivered spans, without duplicates, as a table of a folder a year."""
+    return store.read_spans(spark, _written_store(spark, sf_dir), "year")
 
 
 @query
@@ -618,6 +622,18 @@ def get_traces(spark, sf_dir):
     return _flat(found)
 
 
+@query
+def get_traces_indexed(spark, sf_dir):
+    """The same question, and answer, by an index of services, names and tags."""
+    path, index = _written_store(spark, sf_dir), session.new_run_dir(spark, "index")
+    postings.build(spark, path, index, "year")
+    found = postings.get_traces(
+        spark, path, index, period="year", end_ts=END_TS, lookback=LOOKBACK, service="building",
+        tags={"http.path": None}, min_duration=1_000_000, limit=10,
+    )
+    return _flat(found)
+
+
 @query
 def get_trace(spark, sf_dir):
     stored = _store(spark, sf_dir)

@@ -309,6 +309,13 @@ CONTEXT = "case when root is null then 'flags' when parent is null then 'trace_i
 
 STORE = f"with {UNIQUE}"
 FLAT = "trace_id, parent_id, id, kind, name, timestamp, duration, local_service, remote_service"
+LATEST_TRACES = f"""{STORE},
+t as (select trace_id, min(timestamp) as ts, bool_or(coalesce(local_service = 'building'
+    and "http.path" is not null and duration >= 1000000, false)) as hit from uniq group by trace_id),
+top as (select trace_id from t where hit and ts between {(catalog.END_TS - catalog.LOOKBACK) * 1000}
+    and {catalog.END_TS * 1000} order by ts desc, trace_id limit 10)
+select {FLAT} from uniq where trace_id in (select trace_id from top)"""
+
 LINKED = f"""{STORE.replace("with ", "with recursive ", 1)},
 ends as (
   select trace_id, id, coalesce(kind in ('SERVER', 'CONSUMER'), false) as incoming, local_service as service,
@@ -505,12 +512,8 @@ def oracle_sql() -> dict[str, str]:
               || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21, 12)
               end as partition_key from h""",
         # store
-        "get_traces": f"""{STORE},
-            t as (select trace_id, min(timestamp) as ts, bool_or(coalesce(local_service = 'building'
-                and "http.path" is not null and duration >= 1000000, false)) as hit from uniq group by trace_id),
-            top as (select trace_id from t where hit and ts between {(catalog.END_TS - catalog.LOOKBACK) * 1000}
-                and {catalog.END_TS * 1000} order by ts desc, trace_id limit 10)
-            select {FLAT} from uniq where trace_id in (select trace_id from top)""",
+        "get_traces": LATEST_TRACES,
+        "get_traces_indexed": LATEST_TRACES,
         "get_trace": f"{STORE} select {FLAT} from uniq where trace_id = (select max(trace_id) from spans)",
         "get_service_names": _spans("select distinct local_service as service from spans where local_service is not null"),
         "get_span_names": _spans("select distinct name from spans where local_service = 'building' and name is not null"),
