@@ -224,10 +224,15 @@ def correlate_logs(logs: DataFrame, spans: DataFrame, header: str = "header") ->
     each task where the store keeps traces together; the join copes with a trace ID that fills the
     logs, and logs without a usable root stay out of it.
     """
-    rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
     summary = spans.groupBy("trace_id").agg(
         F.count("*").alias("span_count"), F.min("timestamp").alias("first_ts")
     )
+    return correlate_with(logs, summary, header)
+
+
+def correlate_with(logs: DataFrame, summary: DataFrame, header: str = "header") -> DataFrame:
+    """``correlate_logs`` with a row per trace made before."""
+    rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
     known = F.col("trace_id").isNotNull()
     joined = left_join_summary(rooted.filter(known), summary, "trace_id").withColumn(
         "state",
@@ -246,7 +251,8 @@ def untraced_requests(logs: DataFrame, spans: DataFrame, header: str = "header")
     Requests without a usable root stay out of the join.
     """
     rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
-    known = spans.select(F.col("trace_id").alias("_known"))
+    # once per trace: a task sends what its neighbouring spans share once
+    known = spans.select(F.col("trace_id").alias("_known")).distinct()
     missing = rooted.filter(F.col("trace_id").isNotNull()).join(
         known, F.col("trace_id") == F.col("_known"), "left_anti"
     )

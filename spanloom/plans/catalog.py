@@ -12,7 +12,7 @@ from spanloom.functions import calls as call_fields
 from spanloom.functions import headers, hosts, ids, payload, sampling
 from spanloom.functions import segment as seg
 from spanloom.operators import (
-    calls, dedup, ingest, links, metrics, packing, postings, publish, segments, store,
+    calls, dedup, filling, ingest, links, metrics, packing, postings, publish, segments, store,
 )
 from spanloom.plans import inputs
 from spanloom.plans.dialect import SPARK
@@ -29,6 +29,7 @@ LOOKBACK = 40 * 365 * 86_400_000
 SAMPLE_RATE = 0.25
 # small messages, so that packing has work to do at every scale
 QUEUE_BYTES, STREAM_BYTES = 16 * 1024, 32 * 1024
+FILLED_BUCKET_BYTES = 256 * 1024
 
 
 def query(function: Query) -> Query:
@@ -592,6 +593,13 @@ def pack_spans(spark, sf_dir):
     )
 
 
+@query
+def fill_messages(spark, sf_dir):
+    """Packing by size classes; small buckets, so that keys have several at every scale."""
+    filled = filling.fill_messages(_encoded(spark, sf_dir), QUEUE_BYTES, True, FILLED_BUCKET_BYTES)
+    return filled.select("pack_key", "trace_id", "id", "kind", "size", "packing", "batch")
+
+
 @query
 def partition_key(spark, sf_dir):
     host = F.when(F.col("event_id") % 4 != 0, F.concat(F.lit("host-"), F.col("user_id").cast("string")))
@@ -668,6 +676,15 @@ def correlate_logs(spark, sf_dir):
     return joined.select("request_id", "trace_id", "state", "span_count", "first_ts")
 
 
+@query
+def correlate_logs_indexed(spark, sf_dir):
+    """The same from the index of the store, without reading a span."""
+    path, index = _written_store(spark, sf_dir), session.new_run_dir(spark, "index")
+    postings.build(spark, path, index, "year")
+    joined = postings.correlate_logs(spark, inputs.request_logs(spark, sf_dir), path, index, period="year")
+    return joined.select("request_id", "trace_id", "state", "span_count", "first_ts")
+
+
 @query
 def untraced_requests(spark, sf_dir):
     return store.untraced_requests(

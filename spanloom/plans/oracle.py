@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from spanloom.functions import segment as seg
-from spanloom.operators import packing
+from spanloom.operators import filling, packing
 from spanloom.plans import catalog, inputs
 from spanloom.plans.dialect import DUCK
 
@@ -199,6 +199,34 @@ packed as (
   from sized)"""
 
 
+def _filling(max_bytes: int, base64: bool, bucket_bytes: int) -> str:
+    room, small = filling.room_and_small(max_bytes, base64)
+    return f"""with plain as ({inputs.SPANS_SQL}),
+spans as (select *, {inputs.long_tag_text()} as "{inputs.LONG_TAG}" from plain),
+encoded as (
+  select local_service as pack_key, trace_id, id, kind, cast(strlen({SPAN_JSON}) + 1 as bigint) as size,
+    {_number("trace_id || ':' || id")} as number from spans
+  qualify row_number() over (partition by trace_id, id, kind order by {SPAN_JSON}) = 1),
+keyed as (select *, number % cast(ceil(sum(size) over (partition by pack_key) / {bucket_bytes}) as bigint) as bucket,
+    least({room} // size, {filling.SHARED_CLASS}) as class from encoded where size <= {room}),
+placed as (select *, row_number() over w - 1 as nth, sum(size) over w - size as start from keyed
+  window w as (partition by pack_key, class order by bucket, trace_id, id, kind nulls first rows unbounded preceding)),
+large as (select *, nth // class as message from placed where class < {filling.SHARED_CLASS}),
+laid as (select pack_key, class, message, {room} - sum(size) - {small} + 1 as length from large group by all),
+gaps as (select pack_key, 'c' || class || '-' || message as batch, length,
+    sum(length) over (partition by pack_key order by class, message rows unbounded preceding) as gap_end
+  from laid where length > 0),
+filled as (select p.*, coalesce(m.gap_end, 0) as gap_end
+  from (select * from placed where class = {filling.SHARED_CLASS}) p
+  left join (select pack_key, max(gap_end) as gap_end from gaps group by 1) m using (pack_key)),
+joined as (select f.*, g.batch from filled f asof left join (select *, gap_end - length as gap_start from gaps) g
+  on f.pack_key = g.pack_key and f.start >= g.gap_start)
+select pack_key, trace_id, id, kind, size, 'class' || class as packing, 'c' || class || '-' || message as batch from large
+union all select pack_key, trace_id, id, kind, size, 'shared',
+  case when start < gap_end then batch else 'b' || ((start - gap_end) // {room - small + 1}) end from joined
+union all select pack_key, trace_id, id, kind, size, 'oversize', null from encoded where size > {room}"""
+
+
 def _lists(key: str, md5: str, max_bytes: int, base64: bool) -> str:
     return f"""{_packing(max_bytes, base64)}
 select pack_key as {key}, batch, count(*) as span_count, cast(sum(size) + 1 as bigint) as list_bytes,
@@ -507,6 +535,7 @@ def oracle_sql() -> dict[str, str]:
               select transport, cast(sum(octet_length(payload)) as bigint) as list_bytes from payloads group by transport)
             select transport, list_bytes, (list_bytes + 2) * 4 // 3 as size_estimate from sized""",
         "pack_spans": f"{_packing(catalog.QUEUE_BYTES, True)} select pack_key, trace_id, id, kind, size, packing, batch from packed",
+        "fill_messages": _filling(catalog.QUEUE_BYTES, True, catalog.FILLED_BUCKET_BYTES),
         "partition_key": """with h as (select event_id, user_id, md5('producer-' || user_id) as m from events)
             select event_id, case when event_id % 4 <> 0 then 'host-' || user_id else substr(m, 1, 8) || '-'
               || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21, 12)
@@ -533,6 +562,7 @@ def oracle_sql() -> dict[str, str]:
             select parent, child, count(*) as call_count, count(*) filter (where failed) as error_count
             from calls where parent <> child group by 1, 2""",
         "correlate_logs": f"{LOGGED} select * from joined",
+        "correlate_logs_indexed": f"{LOGGED} select * from joined",
         "untraced_requests": f"{LOGGED} select request_id, state from joined where state <> 'traced'",
         # regions
         "region_from_hosts": f"""select host_key,
