@@ -12,13 +12,13 @@ from spanloom.functions import calls as call_fields
 from spanloom.functions import headers, hosts, ids, payload, sampling
 from spanloom.functions import segment as seg
 from spanloom.operators import (
-    calls, dedup, filling, ingest, links, metrics, packing, postings, publish, segments, store,
+    budget, calls, dedup, filling, ingest, links, metrics, packing, postings, publish, segments, store,
 )
 from spanloom.plans import inputs
 from spanloom.plans.dialect import SPARK
 from spanloom.sources import readers, sinks
 from spanloom.streaming import ingest as stream_jobs
-from spanloom.streaming import pairing, state, stored
+from spanloom.streaming import pairing, retry, state, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 END_TS = 1_262_304_000_000
 LOOKBACK = 40 * 365 * 86_400_000
 SAMPLE_RATE = 0.25
+SAMPLED_TRACES, SAMPLED_SECONDS = 8, 30 * 86_400
 # small messages, so that packing has work to do at every scale
 QUEUE_BYTES, STREAM_BYTES = 16 * 1024, 32 * 1024
 FILLED_BUCKET_BYTES = 256 * 1024
@@ -642,6 +643,12 @@ def get_traces_indexed(spark, sf_dir):
     return _flat(found)
 
 
+@query
+def sample_to_budget(spark, sf_dir):
+    """Eight traces per service and month-long stretch of time, with their weights."""
+    return budget.sample_traces(_store(spark, sf_dir), SAMPLED_TRACES, SAMPLED_SECONDS)
+
+
 @query
 def get_trace(spark, sf_dir):
     stored = _store(spark, sf_dir)
@@ -848,6 +855,28 @@ def dedup_spans_store(spark, sf_dir):
     return _decoded(stored.read_spans(spark, f"{run}/out", "year"))
 
 
+@query
+def retry_messages(spark, sf_dir):
+    """Seven micro-batches, of which two fail; what they held is stored by later ones."""
+    run = session.new_run_dir(spark, "retry")
+    routed = ingest.ingest_messages(_deliveries(spark, sf_dir, run, 1, 7))
+    inner = stored.compacting_sink(f"{run}/out", period="year", fan_in=2)
+
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        if batch_id in (1, 2):
+            raise OSError("out of reach")
+        inner(batch, batch_id)
+
+    # a minute passes from one micro-batch to the next
+    minutes = iter(range(0, 60 * 100, 60))
+    sink = retry.retrying_sink(
+        failing, f"{run}/retry", retry.Schedule(first_delay=30), retry.forget_batch(f"{run}/out"),
+        lambda: next(minutes),
+    )
+    stream_jobs.run(routed, sink, f"{run}/checkpoint", True).awaitTermination()
+    return _decoded(stored.read_spans(spark, f"{run}/out", "year"))
+
+
 @query
 def max_batch(spark, sf_dir):
     """Messages in twelve files, at most three files a micro-batch."""

@@ -543,6 +543,16 @@ def oracle_sql() -> dict[str, str]:
         # store
         "get_traces": LATEST_TRACES,
         "get_traces_indexed": LATEST_TRACES,
+        "sample_to_budget": f"""{STORE},
+            firsts as (select trace_id, local_service as service, {_number("trace_id")} as hash,
+                timestamp // {catalog.SAMPLED_SECONDS * 1_000_000} * {catalog.SAMPLED_SECONDS} as slot from uniq
+              qualify row_number() over (partition by trace_id order by parent_id is not null,
+                timestamp nulls last, id, coalesce(kind, ''), coalesce(local_service, '')) = 1),
+            placed as (select *, row_number() over g as place, nth_value(hash, {catalog.SAMPLED_TRACES + 1}) over (g
+                rows between unbounded preceding and unbounded following) as threshold
+              from firsts window g as (partition by service, slot order by hash, trace_id))
+            select trace_id, service, slot, coalesce({float(1 << 60)}::double / threshold, 1.0) as weight
+            from placed where place <= {catalog.SAMPLED_TRACES}""",
         "get_trace": f"{STORE} select {FLAT} from uniq where trace_id = (select max(trace_id) from spans)",
         "get_service_names": _spans("select distinct local_service as service from spans where local_service is not null"),
         "get_span_names": _spans("select distinct name from spans where local_service = 'building' and name is not null"),
@@ -594,6 +604,7 @@ def oracle_sql() -> dict[str, str]:
         "pair_call_events_stream": EVENT_SPANS_OF_CALLS,
         "pair_call_events_timed": EVENT_SPANS_OF_CALLS,
         "stream_store": EVENT_SPANS,
+        "retry_messages": EVENT_SPANS,
         "dedup_spans_store": EVENT_SPANS,
         "max_batch": """select cast(ceil(count(distinct part) / 3.0) as bigint) as batches, sum(n)::bigint as messages,
             sum(accepted)::bigint as accepted from (
