@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+from functools import partial
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the header format.
@@ -21,6 +24,11 @@ _STATE = (
 )
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: inside a lambda Spark shares no subexpressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _step(state: Column, token: Column) -> Column:
     """Read one ``;``-separated token.
 
@@ -29,9 +37,33 @@ def _step(state: Column, token: Column) -> Column:
     what an empty ``Self`` does.
     """
     text = F.concat(F.coalesce(F.concat(state["held"], F.lit(";")), F.lit("")), token["text"])
-    equals = F.instr(text, "=")
-    name = F.replace(F.substring(text, F.lit(1), equals - 1), F.lit(" "), F.lit(""))
-    value = F.substring(text, equals + 1, F.length(text))
+
+    def parts(text: Column) -> Column:
+        equals = F.instr(text, "=")
+        return F.struct(
+            text.alias("text"), equals.alias("equals"),
+            F.replace(F.substring(text, F.lit(1), equals - 1), F.lit(" "), F.lit("")).alias("name"),
+            F.substring(text, equals + 1, F.length(text)).alias("value"),
+        )
+
+    read = _bound(_bound(text, parts), lambda field: _read_field(state, token, field).cast(_STATE))
+    return F.when(state["stop"], state).when(state["swallow"], _state_of(state)).otherwise(read)
+
+
+def _state_of(state: Column, root=None, parent=None, sampled=None, custom=None, stop=None, swallow=None, held=None):
+    return F.struct(
+        (state["root"] if root is None else root).alias("root"),
+        (state["parent"] if parent is None else parent).alias("parent"),
+        (state["sampled"] if sampled is None else sampled).alias("sampled"),
+        (state["custom"] if custom is None else custom).alias("custom"),
+        (F.lit(False) if stop is None else stop).alias("stop"),
+        (F.lit(False) if swallow is None else swallow).alias("swallow"),
+        (F.lit(None) if held is None else held).cast("string").alias("held"),
+    )
+
+
+def _read_field(state: Column, token: Column, field: Column) -> Column:
+    text, equals, name, value = (field[part] for part in ("text", "equals", "name", "value"))
     # "name=" at the very end of the header says nothing
     dangling = token["last"] & (value == "")
 
@@ -59,24 +91,11 @@ def _step(state: Column, token: Column) -> Column:
     # one character after a value is skipped whatever it is; here it is usually the delimiter
     held_after = F.when(F.length(rest) > 0, F.substring(rest, F.lit(2), F.length(rest)))
 
-    def state_of(root=None, parent=None, sampled=None, custom=None, stop=None, swallow=None,
-                 held=None):
-        return F.struct(
-            (state["root"] if root is None else root).alias("root"),
-            (state["parent"] if parent is None else parent).alias("parent"),
-            (state["sampled"] if sampled is None else sampled).alias("sampled"),
-            (state["custom"] if custom is None else custom).alias("custom"),
-            (F.lit(False) if stop is None else stop).alias("stop"),
-            (F.lit(False) if swallow is None else swallow).alias("swallow"),
-            (F.lit(None) if held is None else held).cast("string").alias("held"),
-        )
-
+    state_of = partial(_state_of, state)
     digits = F.concat(F.substring(value, 3, 8), F.substring(value, 12, 24))
     flag = F.substring(value, 1, 1)
     return (
-        F.when(state["stop"], state)
-        .when(state["swallow"], state_of())
-        .when(equals == 0, state_of(held=F.replace(text, F.lit(" "), F.lit(""))))
+        F.when(equals == 0, state_of(held=F.replace(text, F.lit(" "), F.lit(""))))
         .when(dangling, state_of(stop=F.lit(True)))
         .when(
             is_root,
@@ -130,7 +149,10 @@ def _read_plain(header: Column) -> dict[str, Column]:
 
 
 def _read_any(header: Column) -> Column:
-    tokens = F.split(header, ";")
+    return _bound(F.split(header, ";"), lambda tokens: _read_tokens(header, tokens))
+
+
+def _read_tokens(header: Column, tokens: Column) -> Column:
     last = F.size(tokens) - 1
 
     def token(text, i):
@@ -167,6 +189,15 @@ def _settle(s) -> Column:
     )
 
 
+def with_parsed(rows: DataFrame, header: Column, name: str) -> DataFrame:
+    """Rows with their parsed header, which is read once a row whatever uses it.
+
+    A plain column would be copied to every place that reads it, filters and join conditions included; what
+    ``explode`` makes is not.
+    """
+    return rows.select("*", F.explode(F.array(parse_trace_header(header))).alias(name))
+
+
 def classify_trace_context(parsed: Column) -> Column:
     """``flags`` (nothing but a sampling decision), ``trace_id`` or ``context``."""
     return (

@@ -56,11 +56,12 @@ def publish_contexts(
     messages: DataFrame, rate: float = 1.0, carrier: str = CARRIER, names: Sequence[str] = NAMES
 ) -> DataFrame:
     """Single publishes: add ``context`` (of the parent), ``span_id`` and ``sampled``."""
-    parsed = headers.parse_trace_header(F.coalesce(*[F.col(carrier)[name] for name in names]))
+    # a scope goes before the header, which then says nothing
+    header = F.when(F.col("scope").isNull(), F.coalesce(*[F.col(carrier)[name] for name in names]))
     fresh = ids.derived_trace_id(
         _seconds("sent_ts"), F.lit("message"), F.col("batch_id"), F.col("entry_id")
     )
-    located = messages.withColumn("_parsed", parsed).withColumn(
+    located = headers.with_parsed(messages, header, "_parsed").withColumn(
         "context", resolve_parent(F.col("scope"), F.col("_parsed"), fresh)
     )
     return _with_span(located.drop("_parsed"), rate)

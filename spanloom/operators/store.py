@@ -230,9 +230,14 @@ def correlate_logs(logs: DataFrame, spans: DataFrame, header: str = "header") ->
     return correlate_with(logs, summary, header)
 
 
+def _with_root(logs: DataFrame, header: str) -> DataFrame:
+    parsed = headers.with_parsed(logs, F.col(header), "_parsed")
+    return parsed.withColumn("trace_id", F.col("_parsed.root")).drop("_parsed")
+
+
 def correlate_with(logs: DataFrame, summary: DataFrame, header: str = "header") -> DataFrame:
     """``correlate_logs`` with a row per trace made before."""
-    rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
+    rooted = _with_root(logs, header)
     known = F.col("trace_id").isNotNull()
     joined = left_join_summary(rooted.filter(known), summary, "trace_id").withColumn(
         "state",
@@ -250,7 +255,7 @@ def untraced_requests(logs: DataFrame, spans: DataFrame, header: str = "header")
 
     Requests without a usable root stay out of the join.
     """
-    rooted = logs.withColumn("trace_id", headers.parse_trace_header(F.col(header))["root"])
+    rooted = _with_root(logs, header)
     # once per trace: a task sends what its neighbouring spans share once
     known = spans.select(F.col("trace_id").alias("_known")).distinct()
     missing = rooted.filter(F.col("trace_id").isNotNull()).join(

@@ -156,6 +156,18 @@ def test_single_message_continues_its_header(spark):
     assert flagged["context"]["parent_id"] is None and flagged["sampled"] is False
 
 
+def test_a_header_is_read_once_a_message(spark):
+    """Neither the sampling filter nor a field of the context reads it again."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "100000")
+    try:
+        # behind an exchange, as the optimizer works rows of a list out
+        spans = publish.publish_spans(entry(spark, ({headers.HEADER_NAME: HEADER}, None)).repartition(2))
+        plan = spans._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("aggregate(") == 1
+
+
 def test_headers_travel_where_they_are_told(spark):
     """Another column, and two names: the first found is read, both are cleared, the first is written."""
     names = ("trace", "old-trace")
