@@ -1,6 +1,6 @@
 """Calls paired from events with keyed state and timers.
 
-Each call holds its first time and its last event, not its events.  A call whose last event is an answer is
+Calls are dealt into shards.  Each call holds its first time and its last event, not its events.  A call whose last event is an answer is
 shown at once; one without an answer is shown as unfinished when ``timeout`` has passed without an event, and
 again when the answer comes after all.  State goes ``keep`` after a call's newest event.  An event that comes
 later still, for which nothing is held any more, is passed on as it is.
@@ -11,6 +11,7 @@ Every row tells all that is known of a call, or one late event, in the form of `
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -24,10 +25,12 @@ from spanloom.operators.calls import CALL_COLUMNS
 
 FINISHED, UNFINISHED, LATE = "finished", "unfinished", "late"
 
-_HELD = "first long, newest long, revision int, attempt_no long, phase int, at long, status int"
+#: Calls are held in so many shards; the open calls of one are read and written together.
+SHARDS = 256
+
+_CALL_FIELDS = ", ".join(f"{c} string" for c in CALL_COLUMNS)
 _PARTS = (
-    ", ".join(f"{c} string" for c in CALL_COLUMNS)
-    + ", state string, revision int, timestamp long, "
+    f"{_CALL_FIELDS}, state string, revision int, timestamp long, "
     "last struct<attempt_no:bigint,phase:int,timestamp:bigint,status:int>"
 )
 _PART = Row(*CALL_COLUMNS, "state", "revision", "timestamp", "last")
@@ -35,69 +38,103 @@ _LAST = Row("attempt_no", "phase", "timestamp", "status")
 
 
 class Calls(StatefulProcessor):
-    """One call: what its events so far say, and when to stop waiting."""
+    """The calls of a shard: what the events of each so far say, and when to stop waiting for it.
+
+    Asking the state store for one call at a time takes longer than all the rest, so a shard's open calls are one
+    text, and one timer stands for the first of them that is due.
+    """
 
     def __init__(self, timeout_ms: int, keep_ms: int):
         self.timeout_ms, self.keep_ms = timeout_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("call", _HELD)
+        self.held = handle.getValueState("calls", "open string")
 
     def close(self) -> None:
         pass
 
     @staticmethod
-    def _row(key: tuple, state: str, revision: int, first: int, last: tuple) -> Row:
-        return _PART(*key, state, revision, first, _LAST(*last))
+    def _row(call: tuple, state: str, revision: int, first: int, last: tuple) -> Row:
+        return _PART(*call, state, revision, first, _LAST(*last))
 
-    def _due(self, newest: int, wait_ms: int) -> int:
+    @staticmethod
+    def _due(newest: int, wait_ms: int) -> int:
         return -(-newest // 1000) + wait_ms
 
-    def _wait(self, before: int | None, newest: int) -> None:
-        """Both timers follow the newest event."""
-        if before == newest:
-            return
-        for wait_ms in (self.timeout_ms, self.keep_ms):
+    def _open(self) -> dict[tuple, tuple]:
+        """``(first, newest, revision, waits, last)`` of each open call."""
+        held = self.held.get()
+        return {tuple(call): (*facts, tuple(last)) for call, facts, last in json.loads(held[0])} if held else {}
+
+    def _first_due(self, calls_held: dict[tuple, tuple]) -> int | None:
+        """When the first call has to be looked at: both waits follow its newest event."""
+        return min(
+            (self._due(newest, self.timeout_ms if waits else self.keep_ms)
+             for _, newest, _, waits, _ in calls_held.values()),
+            default=None,
+        )
+
+    def _keep(self, calls_held: dict[tuple, tuple], before: int | None) -> None:
+        """Hold these calls from now on; ``before`` is the timer that stands."""
+        if calls_held:
+            self.held.update((json.dumps([(call, facts, last) for call, (*facts, last) in calls_held.items()]),))
+        else:
+            self.held.clear()
+        due = self._first_due(calls_held)
+        if due != before:
             if before is not None:
-                self.handle.deleteTimer(self._due(before, wait_ms))
-            self.handle.registerTimer(self._due(newest, wait_ms))
+                self.handle.deleteTimer(before)
+            if due is not None:
+                self.handle.registerTimer(due)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        held = self.held.get() if self.held.exists() else None
-        first, newest, revision, last = None, None, 0, None
-        if held:
-            first, newest, revision, last = held[0], held[1], held[2], tuple(held[3:])
-        before = newest
+        held = self._open()
+        before = self._first_due(held)
         watermark = timerValues.getCurrentWatermarkInMs()
+        now: dict[tuple, tuple] = {}
         for row in rows:
-            event = row["event"]
-            at = event["timestamp"]
-            said = (event["attempt_no"], event["phase"], at, event["status"])
+            call = tuple(row[c] for c in CALL_COLUMNS)
+            said = (row["attempt_no"], row["phase"], row["timestamp"], row["status"])
+            at = said[2]
+            known = now.get(call) or held.get(call)
             # an event without a time cannot be waited for
-            if at is None or (held is None and self._due(at, self.keep_ms) <= watermark):
-                yield self._row(key, LATE, 0, at, said)
-                continue
-            first = at if first is None else min(first, at)
-            newest = at if newest is None else max(newest, at)
-            last = said if last is None or _rank(said) > _rank(last) else last
-        if last is None:
+            if at is None or (call not in held and self._due(at, self.keep_ms) <= watermark):
+                yield self._row(call, LATE, 0, at, said)
+                if known:
+                    now[call] = known
+            elif known:
+                first, newest, revision, waits, last = known
+                now[call] = (
+                    min(first, at), max(newest, at), revision, waits or at > newest,
+                    said if _rank(said) > _rank(last) else last,
+                )
+            else:
+                now[call] = (at, at, 0, True, said)
+        if not now:
             return
-        if last[1] == 1:
-            revision += 1
-            yield self._row(key, FINISHED, revision, first, last)
-        self.held.update((first, newest, revision, *last))
-        self._wait(before, newest)
+        for call, (first, newest, revision, waits, last) in now.items():
+            if last[1] == 1:
+                revision += 1
+                yield self._row(call, FINISHED, revision, first, last)
+            held[call] = (first, newest, revision, waits, last)
+        self._keep(held, before)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        if not self.held.exists():
-            return
-        first, newest, revision, *last = self.held.get()
-        if expiredTimerInfo.getExpiryTimeInMs() >= self._due(newest, self.keep_ms):
-            self.held.clear()
-        elif last[1] == 0:
-            self.held.update((first, newest, revision + 1, *last))
-            yield self._row(key, UNFINISHED, revision + 1, first, tuple(last))
+        held = self._open()
+        expired = expiredTimerInfo.getExpiryTimeInMs()
+        passed = max(expired, timerValues.getCurrentWatermarkInMs() - 1)
+        left: dict[tuple, tuple] = {}
+        for call, (first, newest, revision, waits, last) in held.items():
+            if waits and self._due(newest, self.timeout_ms) <= passed:
+                waits = False
+                if last[1] == 0:
+                    revision += 1
+                    yield self._row(call, UNFINISHED, revision, first, last)
+            if self._due(newest, self.keep_ms) > passed:
+                left[call] = (first, newest, revision, waits, last)
+        # the timer that went off stands no more
+        self._keep(left, None)
 
 
 def _rank(event: tuple) -> tuple:
@@ -106,19 +143,24 @@ def _rank(event: tuple) -> tuple:
 
 
 def pair_calls(
-    events: DataFrame, delay: str = "10 minutes", timeout_ms: int = 60_000, keep_ms: int = 86_400_000
+    events: DataFrame, delay: str = "10 minutes", timeout_ms: int = 60_000, keep_ms: int = 86_400_000,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Rows of calls as they finish, are given up or are completed after all.
 
     ``delay`` is how far events of different calls may be out of order.  The watermark moves the timers
     only: no event is dropped for coming late.  Of a call whose events fill a micro-batch, one event is
-    held at a time.
+    held at a time.  A micro-batch reads and writes the open calls of the ``shards`` it touches; raise
+    their number with that of open calls, and keep it as long as the checkpoint.
     """
     if keep_ms <= timeout_ms:
         raise ValueError("state has to be kept for longer than the timeout")
     timed = events.withColumn("event_time", F.timestamp_micros(F.col("event.timestamp")))
-    keyed = timed.withWatermark("event_time", delay).select(*CALL_COLUMNS, "event")
-    return keyed.groupBy(*CALL_COLUMNS).transformWithState(
+    shard = F.pmod(F.xxhash64(*CALL_COLUMNS), F.lit(shards)).cast("int").alias("shard")
+    keyed = timed.withWatermark("event_time", delay).select(
+        shard, *CALL_COLUMNS, "event.timestamp", "event.attempt_no", "event.phase", "event.status"
+    )
+    return keyed.groupBy("shard").transformWithState(
         Calls(timeout_ms, keep_ms), _PARTS, "append", "eventTime"
     )
 

@@ -69,6 +69,70 @@ def test_state_goes_and_what_comes_later_is_kept_apart(spark, run_dir):
     assert rows(found) == rows(state.pair_call_events(whole)) != rows(state.pair_call_events(everything))
 
 
+class CountedStore:
+    """A handle of the state store, with one value and its timers, that counts what it is asked."""
+
+    def __init__(self):
+        self.asked, self.value, self.timers = 0, None, set()
+
+    def getValueState(self, name, kind):  # noqa: N802
+        return self
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked, self.value = self.asked + 1, value
+
+    def clear(self):
+        self.asked, self.value = self.asked + 1, None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.asked += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.asked += 1
+        self.timers.remove(at)
+
+
+class At:
+    def __init__(self, watermark, expired=None):
+        self.watermark, self.expired = watermark, expired
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+    def getExpiryTimeInMs(self):  # noqa: N802
+        return self.expired
+
+
+def test_calls_of_a_shard_are_asked_for_at_once(spark):
+    """A thousand calls take a handful of questions, and each still has its own times."""
+    held = CountedStore()
+    shard = pairing.Calls(60_000, 600_000)
+    shard.init(held)
+
+    def arriving(numbers, at, phase, status=None):
+        return [
+            dict(zip(calls.CALL_COLUMNS, (f"c{i}", "svc", "GetRequest", "t" * 32, None)),
+                 timestamp=(at + i) * SECOND, attempt_no=1, phase=phase, status=status)
+            for i in numbers
+        ]
+
+    assert list(shard.handleInputRows((0,), iter(arriving(range(1000), 0, 0)), At(0))) == []
+    finished = list(shard.handleInputRows((0,), iter(arriving(range(500), 1, 1, 200)), At(0)))
+    assert {r.call_id for r in finished} == {f"c{i}" for i in range(500)} and {r.state for r in finished} == {"finished"}
+    assert held.timers == {61_000} and held.asked <= 8
+    # the watermark has passed the timeout of calls up to 699, and nobody's time to be kept
+    given_up = list(shard.handleExpiredTimer((0,), At(759_000), At(0, 61_000)))
+    assert {(r.call_id, r.state) for r in given_up} == {(f"c{i}", "unfinished") for i in range(500, 699)}
+    # the earlier ones are forgotten: kept is who had an event less than ten minutes before
+    assert {call[0] for call in shard._open()} == {f"c{i}" for i in range(158, 1000)}
+    assert len(held.timers - {61_000}) == 1 and held.asked <= 13
+
+
 def test_settings_are_checked(spark):
     events = spark.createDataFrame([], EVENT)
     with pytest.raises(ValueError):
