@@ -26,7 +26,7 @@ from spanloom.operators.calls import CALL_COLUMNS
 FINISHED, UNFINISHED, LATE = "finished", "unfinished", "late"
 
 #: Calls are held in so many shards; the open calls of one are read and written together.
-SHARDS = 256
+SHARDS = 1024
 
 _CALL_FIELDS = ", ".join(f"{c} string" for c in CALL_COLUMNS)
 _PARTS = (
