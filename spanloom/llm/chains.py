@@ -6,9 +6,9 @@ so a seed in n documents gives n - 1 matches.  The matches of a document with on
 are chained in order of both positions, a Fenwick tree holding the best chain so far, and gaps cost.
 
 Parts of a passage may first stand in different documents.  Seeds that no chain of a whole passage takes up
-are therefore tied anew, without the documents that were their anchors: to the next document with the seed,
-then to the first one with the same run of seeds.  Runs grow from round to round, so every round is linear in
-the seeds left and the number of rounds is fixed.
+therefore go on in runs: a seed with one of those that follow it.  Documents that share a run are all compared
+with each other where they are few.  Where they are many, the run grows by a further seed and is dealt anew, until
+few have it or it is as long as a passage; then its first document stands for them.
 
 Chains are aligned word by word; the ends go on past single edits, as long as more words agree than not.
 """
@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from spanloom.llm.common import Batches, map_rows, run_bounds, sorted_runs, stored, strings
 
 K, WINDOW = 4, 10
-#: Seeds in a run that must agree, for each round of tying.
-RUNS = (1, 1, 2, 4)
+#: Places of a run that are all compared with each other.
+LEAF = 16
+#: Which of the next seeds may be the second of a run; a run grows by the next seed alone, so its rows stay linear.
+FOLLOWING = 4
 #: Words between the first and the last seed of a chain that is aligned.
 SHOWN = 12
 #: Words at either end of a chain in which its passage may go on.
@@ -182,7 +184,7 @@ def _chained(k: int, gap_cost: float, min_words: int):
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 own, other = ids[a], anchors[a]
                 left = np.ones(b - a, bool)
-                if x[b - 1] - x[a] + k >= shown:
+                if own != other and x[b - 1] - x[a] + k >= shown:
                     for members in chain(x[a:b], y[a:b], k, gap_cost):
                         cx, cy = x[a:b][members], y[a:b][members]
                         length = min(cx[-1] - cx[0], cy[-1] - cy[0]) + k
@@ -197,33 +199,96 @@ def _chained(k: int, gap_cost: float, min_words: int):
     return run
 
 
-def _tied(places: DataFrame, seeds_in_run: int, far: int) -> DataFrame:
-    """Each ``(seed, id, at)`` with the first document that has the same run of seeds.
+def _tied(places: DataFrame) -> DataFrame:
+    """Each ``(seed, id, at)`` with the first place of the seed.
 
-    A run lies within ``far`` words.  The first places are a partial aggregate; the join with them starts
-    from scans or shuffles, so adaptive execution may split a run with very many places.
+    Further places in the first document come tied to it as well, and belong to no chain.  The first places are
+    a partial aggregate; the join with them starts from scans or shuffles, so adaptive execution may split a
+    seed with very many places.
     """
-    keyed = places.withColumn("run", F.col("seed"))
-    if seeds_in_run > 1:
-        order = Window.partitionBy("id").orderBy("at", "seed")
-        following = [F.lead("seed", i).over(order) for i in range(1, seeds_in_run)]
-        last = F.lead("at", seeds_in_run - 1).over(order)
-        keyed = places.withColumns({"run": F.xxhash64("seed", *following), "_last": last}).filter(
-            F.col("_last") - F.col("at") <= far
-        ).drop("_last")
-        keyed = stored(keyed, "runs")
-    first = keyed.groupBy("run").agg(
+    first = places.groupBy("seed").agg(
         F.min(F.struct("id", "at")).alias("first"), F.max("id").alias("last_id")
     ).filter("first.id < last_id")
     anchors = stored(
         first.select(
-            F.col("run").alias("_run"), F.col("first.id").alias("anchor_id"),
+            F.col("seed").alias("_seed"), F.col("first.id").alias("anchor_id"),
             F.col("first.at").alias("anchor_at"),
         ), "anchors",
     )
-    return keyed.join(anchors, F.col("run") == F.col("_run")).filter("id != anchor_id").select(
-        "seed", "id", "anchor_id", "at", "anchor_at"
+    return places.join(anchors, F.col("seed") == F.col("_seed")).filter(
+        "id != anchor_id OR at != anchor_at"
+    ).select("seed", "id", "anchor_id", "at", "anchor_at")
+
+
+def _grown(runs: DataFrame, places: DataFrame, steps: int, far: int) -> DataFrame:
+    """Runs with one more seed, each of the next ``steps`` places that is within ``far`` words."""
+    step = F.explode(F.sequence(F.lit(1), F.lit(steps)))
+    longer = runs.withColumn("_step", step).withColumn("_to", F.col("no") + F.col("_step"))
+    following = places.select(
+        F.col("id").alias("_id"), F.col("no").alias("_no"), F.col("at").alias("_at"), F.col("seed").alias("_seed")
+    )
+    joined = longer.join(following, (F.col("id") == F.col("_id")) & (F.col("_to") == F.col("_no")))
+    gap = F.col("_at") - F.element_at("ats", -1)
+    return joined.filter((gap > 0) & (gap <= far)).select(
+        F.xxhash64("run", "_seed").alias("run"), "id", F.concat("ats", F.array("_at")).alias("ats"),
+        F.col("_no").alias("no"),
+    )
+
+
+def _shared_runs(left: DataFrame, k: int, min_words: int) -> DataFrame:
+    """``(id, anchor_id, at, anchor_at)`` of the seeds left, for documents that share a run of two or more.
+
+    ``left`` has ``seed, id, at``.  A single seed makes no chain, so runs begin with two.
+    """
+    order = Window.partitionBy("id").orderBy("at", "seed")
+    left = stored(left.distinct(), "left")
+    shared = left.groupBy("seed").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).filter("_low < _high")
+    places = stored(
+        left.join(shared.select("seed"), "seed", "left_semi").select(
+            "seed", "id", "at", F.row_number().over(order).alias("no")
+        ), "places",
+    )
+    single = places.select(F.col("seed").alias("run"), "id", F.array("at").alias("ats"), "no")
+    # text that repeats itself within a passage's length has a run once there
+    start = F.get("ats", F.lit(0))
+    before = F.lag(start).over(Window.partitionBy("run", "id").orderBy(start, "no"))
+    runs = stored(
+        _grown(single, places, FOLLOWING, min_words).withColumn("_before", before).filter(
+            F.col("_before").isNull() | (start - F.col("_before") >= min_words)
+        ).drop("_before"), "runs",
     )
+    schema = "id long, anchor_id long, at int, anchor_at int"
+    found = [left.sparkSession.createDataFrame([], schema)]
+
+    def matches(pairs: DataFrame) -> DataFrame:
+        both = F.explode(F.arrays_zip("ats", "anchor_ats")).alias("_both")
+        return pairs.select("id", "anchor_id", both).select(
+            "id", "anchor_id", F.col("_both.ats").alias("at"), F.col("_both.anchor_ats").alias("anchor_at")
+        )
+
+    while not runs.isEmpty():
+        groups = runs.groupBy("run").agg(
+            F.count(F.lit(1)).alias("n"), F.min("id").alias("_low"), F.max("id").alias("_high")
+        ).filter("_low < _high").select(F.col("run").alias("_run"), "n")
+        known = stored(runs.join(groups, F.col("run") == F.col("_run")).drop("_run"), "known")
+        few = known.filter(F.col("n") <= LEAF).groupBy("run").agg(
+            F.sort_array(F.collect_list(F.struct("id", "ats"))).alias("one")
+        )
+        pairs = few.select("one", F.explode("one").alias("other")).select(
+            F.explode(F.filter("one", lambda x: x["id"] < F.col("other.id"))).alias("one"), "other"
+        ).select(
+            F.col("other.id").alias("id"), F.col("one.id").alias("anchor_id"), F.col("other.ats").alias("ats"),
+            F.col("one.ats").alias("anchor_ats"),
+        )
+        many = known.filter(F.col("n") > LEAF).drop("n")
+        whole = F.element_at("ats", -1) - F.get("ats", F.lit(0)) + k >= min_words
+        first = many.filter(whole).groupBy("run").agg(F.min(F.struct("id", "ats")).alias("first"))
+        tied = many.filter(whole).join(first, "run").filter(F.col("id") != F.col("first.id")).select(
+            "id", F.col("first.id").alias("anchor_id"), "ats", F.col("first.ats").alias("anchor_ats")
+        )
+        found.append(stored(matches(pairs.union(tied)).distinct(), "matches"))
+        runs = stored(_grown(many.filter(~whole), places, 1, min_words), "runs")
+    return reduce(DataFrame.union, found).distinct()
 
 
 # ---------------------------------------------------------------- alignment
@@ -319,7 +384,7 @@ def shared_passages(
     Columns: ``doc_id, start, end, anchor_id, anchor_start, anchor_end, identity``; places are word
     numbers, ends exclusive.  The anchor is the document with the smallest ID that holds a seed, so
     a passage of n documents gives n - 1 rows (more if its parts first stand in several documents, or if its
-    seeds lie less than ``min_words`` apart: such seeds are tied in every round).
+    seeds lie less than ``min_words`` apart: such seeds go on in runs).
     Null IDs take no part, null and short texts share nothing.  Rows of one ID count as one document;
     its passages come once.
     """
@@ -327,22 +392,22 @@ def shared_passages(
         F.col(id_column).cast("long").alias("id"), F.coalesce(text_column, F.lit("")).alias("text")
     )
     places = stored(seed_table(docs, k, window, id_column, text_column), "seeds")
-    found = []
-    for seeds_in_run in RUNS:
-        dealt = _tied(places, seeds_in_run, min_words).repartition("id", "anchor_id").sortWithinPartitions(
-            "id", "anchor_id", "at", "anchor_at"
-        )
-        chained = stored(
+
+    def chained(tied: DataFrame) -> DataFrame:
+        dealt = tied.repartition("id", "anchor_id").sortWithinPartitions("id", "anchor_id", "at", "anchor_at")
+        return stored(
             map_rows(
                 dealt, _chained(k, gap_cost, min_words),
                 "id long, anchor_id long, x array<int>, y array<int>, seeds array<long>",
             ), "chains",
         )
-        found.append(chained.filter("seeds IS NULL").drop("seeds"))
-        places = chained.filter("seeds IS NOT NULL").select(
-            "id", F.explode(F.arrays_zip("seeds", "x")).alias("_place")
-        ).select(F.col("_place.seeds").alias("seed"), "id", F.col("_place.x").alias("at"))
-    chains = reduce(DataFrame.union, found)
+
+    first = chained(_tied(places))
+    left = first.filter("seeds IS NOT NULL").select(
+        "id", F.explode(F.arrays_zip("seeds", "x")).alias("_place")
+    ).select(F.col("_place.seeds").alias("seed"), "id", F.col("_place.x").alias("at"))
+    further = chained(_shared_runs(left, k, min_words).withColumn("seed", F.lit(0).cast("long")))
+    chains = first.union(further).filter("seeds IS NULL").drop("seeds")
     with_left = _sliced(chains, rows, "id", "x", MARGIN, k, "left")
     both = _sliced(stored(with_left, "chains"), rows, "anchor_id", "y", MARGIN, k, "right")
     return map_rows(

@@ -1,5 +1,6 @@
 """Shared passages, quality, licences, decontamination, token counts and the pipeline."""
 
+import itertools
 import random
 import zlib
 
@@ -95,6 +96,29 @@ def brute_chain(x, y, k, cost):
     return max(score)
 
 
+@pytest.mark.parametrize("copies", [4, 30])
+def test_passages_whose_seeds_are_all_common(make_docs, copies):
+    """Each part of a passage stands in several earlier documents, and its later copy is edited."""
+    rng = random.Random(5)
+    new = itertools.count()
+
+    def words(n):
+        return [f"w{next(new)}" for _ in range(n)]
+
+    texts = {}
+    for n in range(6):
+        passage = [f"p{n}x{rng.randrange(10**6)}" for _ in range(72)]
+        for at in range(0, 60, 6):
+            for _ in range(copies):
+                texts[len(texts)] = words(15) + passage[at:at + 18] + words(15)
+        edited = [w if i % 12 != 11 else next(iter(words(1))) for i, w in enumerate(passage)]
+        texts[10_000 + 2 * n] = words(30) + passage + words(30)
+        texts[10_001 + 2 * n] = words(30) + edited + words(30)
+    rows = chains.shared_passages(make_docs(*[(i, " ".join(t)) for i, t in texts.items()])).collect()
+    found = {(r.doc_id, r.anchor_id) for r in rows if r.end - r.start >= 60}
+    assert {(10_001 + 2 * n, 10_000 + 2 * n) for n in range(6)} <= found
+
+
 def test_chains_are_optimal():
     rng = random.Random(4)
     for _ in range(60):
