@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from spanloom import schema
 from spanloom.operators import dedup, joins, store
+from spanloom.plans import inputs
 
 
 @pytest.fixture(scope="module")
@@ -179,3 +180,38 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_unique_store_moves_spans_once(spark, tmp_path):
+    """Copies whose periods differ collapse as by ``dedup_spans``; odd and null keys stay; one shuffle."""
+    years = [None, 0, 400 * 86_400_000_000, 900 * 86_400_000_000]
+    rng = random.Random(3)
+    rows = []
+    for _ in range(600):
+        row = dict.fromkeys(schema.SPAN_FIELDS)
+        row.update(
+            trace_id=rng.choice(["", None, *[f"{t:032x}" for t in range(40)], f"{7:016x}"]),
+            id=rng.choice([None, "", *[f"{i:016x}" for i in range(4)]]),
+            kind=rng.choice(["CLIENT", None]), timestamp=rng.choice(years), duration=rng.choice([None, 1, 2]),
+            name=rng.choice(["a", None]), tags=rng.choice([None, {}, {"k": "v"}]),
+        )
+        rows.append(tuple(row.values()))
+    spans = spark.createDataFrame(rows, schema.SPAN)
+    store.write_unique_spans(spans, str(tmp_path / "store"), "year")
+    stored = store.plain(store.read_spans(spark, str(tmp_path / "store"), "year"))
+
+    def told(df):
+        return Counter(r[0] for r in df.select(F.to_json(F.struct(*schema.SPAN_FIELDS))).collect())
+
+    assert told(stored) == told(dedup.dedup_spans(spans))
+    plan = store.unique_in_ranges(store.lay_out(spans, "year"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan
+
+
+def test_redelivered_spans_join_the_tables_once(spark, sf_dir):
+    delivered = inputs.delivered_spans(spark, sf_dir)
+    plan = delivered._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 7
+    once = inputs.spans(spark, sf_dir)
+    again = once.filter(F.conv(F.substring("id", -12, 12), 16, 10).cast("bigint") % 5 == 1)
+    assert delivered.count() == once.count() + again.count()
