@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import ids
 from spanloom.functions.payload import encode_body
 from spanloom.functions.wire import span_json
+from spanloom.operators.dedup import SPAN_KEY, keep_first
 
 # Default message limits.
 QUEUE_MAX_BYTES = 256 * 1024
@@ -55,23 +56,31 @@ def encode_spans(spans: DataFrame, key: Column) -> DataFrame:
 
 def pack_spans(
     encoded: DataFrame, max_bytes: int = QUEUE_MAX_BYTES, base64: bool = True,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int = DEFAULT_BUCKETS, first_by: list[Column] | None = None, few_keys: bool = False,
 ) -> DataFrame:
     """Assign every encoded span to a message (``batch``) of its pack key.
 
-    Expects one row per span (``dedup_spans`` first).  The order within a key is (bucket, trace ID,
+    Expects one row per span; with ``first_by`` the first of differing reports in that order is packed, and as reports
+    of a span are in one bucket, spans move once for both.  The order within a key is (bucket, trace ID,
     ID, kind).  Raise ``buckets`` with the data, so that a bucket of the busiest host fits a task.
+    ``few_keys`` says that a row per key and bucket may be sent to all tasks; spans are then not moved to meet these rows.
+    ``split`` tells messages that may have spans in several buckets.
     """
     usable = usable_bytes(max_bytes, base64)
     small, small_step = largest_and_step(max_bytes, base64, SHARED_PART)
     large, large_step = largest_and_step(max_bytes, base64, LARGE_PART)
-    labelled = encoded.withColumn(
+    bucket = (ids.digest_number(F.col("trace_id"), F.col("id")) % buckets).cast("int")
+    # never null, so that joins add no filter to one of the two readers of the shuffle, which share it
+    dealt = encoded.withColumn("bucket", F.coalesce(bucket, F.lit(0)))
+    if first_by:
+        dealt = keep_first(dealt.repartition("bucket"), ["bucket", *SPAN_KEY], first_by)
+    labelled = dealt.withColumn(
         "packing",
         F.when(F.col("size") + 1 > usable, F.lit(OVERSIZE))
         .when(F.col("size") > large, F.lit(ALONE))
         .when(F.col("size") > small, F.lit(LARGE))
         .otherwise(F.lit(SHARED)),
-    ).withColumn("bucket", (ids.digest_number(F.col("trace_id"), F.col("id")) % buckets).cast("int"))
+    )
 
     # running bytes of either class; spans of another class add nothing to them
     def bytes_of(label: str) -> Column:
@@ -86,22 +95,30 @@ def pack_spans(
     )
     offsets = totals.select("pack_key", "bucket", *[
         F.coalesce(F.sum(label).over(before), F.lit(0)).alias(f"{label}_before") for label in classes
-    ])
+    ], *[F.col(label).alias(f"{label}_bytes") for label in classes])
     inside = Window.partitionBy("pack_key", "bucket").orderBy("trace_id", "id", "kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     running = labelled.select("*", *[
         F.sum(bytes_of(label)).over(inside).alias(f"{label}_running") for label in classes
-    ]).join(offsets, ["pack_key", "bucket"])
+    ]).join(F.broadcast(offsets) if few_keys else offsets, ["pack_key", "bucket"])
     batch = F.when(
         F.col("packing") == ALONE,
         F.concat_ws("-", F.lit("a"), "trace_id", "id", F.coalesce("kind", F.lit(""))),
     )
+    split = F.lit(False)
     for label, (prefix, step) in classes.items():
-        total = F.col(f"{label}_before") + F.col(f"{label}_running")
-        number = F.floor((total - 1) / step).cast("string")
-        batch = batch.when(F.col("packing") == label, F.concat(F.lit(prefix), number))
-    return running.withColumn("batch", batch).select(*encoded.columns, "packing", "batch")
+        start = F.col(f"{label}_before")
+        number = F.floor((start + F.col(f"{label}_running") - 1) / step)
+        batch = batch.when(F.col("packing") == label, F.concat(F.lit(prefix), number.cast("string")))
+        # the last message of earlier buckets, or the first that later ones may go on with
+        shared = (number <= F.floor((start - 1) / step)) | (
+            number >= F.floor((start + F.col(f"{label}_bytes")) / step)
+        )
+        split = split | ((F.col("packing") == label) & shared)
+    return running.withColumns({"batch": batch, "split": split}).select(
+        *encoded.columns, "packing", "batch", "bucket", "split"
+    )
 
 
 def oversize_spans(packed: DataFrame) -> DataFrame:
@@ -110,12 +127,26 @@ def oversize_spans(packed: DataFrame) -> DataFrame:
 
 
 def _lists(packed: DataFrame) -> DataFrame:
-    """One JSON list per message; a group holds no more than the message limit."""
+    """One JSON list per message; a group holds no more than the message limit.
+
+    Where buckets are known, a message is put together where its bucket is; only parts of split ones move.
+    """
     member = F.struct("trace_id", "id", "kind", "json")
-    ordered = F.transform(F.sort_array(F.collect_list(member)), lambda m: m["json"])
-    return packed.filter(F.col("batch").isNotNull()).groupBy("pack_key", "batch").agg(
-        F.count("*").alias("span_count"),
-        (F.sum("size") + 1).alias("list_bytes"),
+    sums = [F.count("*").alias("span_count"), F.sum("size").alias("bytes")]
+    members = F.collect_list(member).alias("members")
+    held = packed.filter(F.col("batch").isNotNull())
+    if "split" in packed.columns:
+        parts = held.groupBy("bucket", "pack_key", "batch", "split").agg(*sums, members)
+        joined = parts.filter("split").groupBy("pack_key", "batch").agg(
+            F.sum("span_count").alias("span_count"), F.sum("bytes").alias("bytes"),
+            F.flatten(F.collect_list("members")).alias("members"),
+        )
+        messages = parts.filter("NOT split").select(*joined.columns).unionByName(joined)
+    else:
+        messages = held.groupBy("pack_key", "batch").agg(*sums, members)
+    ordered = F.transform(F.sort_array("members"), lambda m: m["json"])
+    return messages.select(
+        "pack_key", "batch", "span_count", (F.col("bytes") + 1).alias("list_bytes"),
         F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")).alias("list"),
     )
 

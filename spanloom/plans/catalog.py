@@ -112,23 +112,24 @@ def read_all_spans(spark, sf_dir):
     )
 
 
-def _encoded(spark, sf_dir) -> DataFrame:
-    """Encoded spans, staged: packing reads their sizes first and the whole rows afterwards.
-
-    Some carry a long tag, so that every way of travelling occurs.  Of differing reports of a span the
-    first one as text is packed.
-    """
+def _reported(spark, sf_dir) -> DataFrame:
+    """Encoded spans, with differing reports of some; some carry a long tag, so that every way of travelling occurs."""
     key = packing.partition_key(F.col("local_service"), F.col("trace_id"))
-    path = session.new_run_dir(spark, "encoded")
     long_tag = F.expr(f"map('{inputs.LONG_TAG}', {inputs.long_tag_text()})")
     tags = F.map_concat("tags", F.map_filter(long_tag, lambda _, v: v.isNotNull()))
-    encoded = packing.encode_spans(inputs.spans(spark, sf_dir).withColumn("tags", tags), key)
-    dedup.keep_first(encoded, dedup.SPAN_KEY, [F.col("json")]).write.parquet(path)
+    return packing.encode_spans(inputs.spans(spark, sf_dir).withColumn("tags", tags), key)
+
+
+def _encoded(spark, sf_dir) -> DataFrame:
+    """Of differing reports the first one as text, staged: filling reads sizes first and the whole rows afterwards."""
+    path = session.new_run_dir(spark, "encoded")
+    dedup.keep_first(_reported(spark, sf_dir), dedup.SPAN_KEY, [F.col("json")]).write.parquet(path)
     return spark.read.parquet(path)
 
 
 def _packed(spark, sf_dir, max_bytes: int, base64: bool) -> DataFrame:
-    return packing.pack_spans(_encoded(spark, sf_dir), max_bytes, base64)
+    """The keys are market segments, a handful at any scale."""
+    return packing.pack_spans(_reported(spark, sf_dir), max_bytes, base64, first_by=[F.col("json")], few_keys=True)
 
 
 @query

@@ -127,3 +127,25 @@ def test_busy_host_is_spread(spark, sf_dir):
     assert sum("bucket" in line for line in wide) >= 2
     # the only exchange on the host alone carries per-bucket totals
     assert sum("bucket" not in line for line in wide) == 1
+
+
+@pytest.mark.parametrize("few_keys", [True, False])
+def test_reports_and_sums_share_one_shuffle(spark, few_keys):
+    """The first report is packed and messages are those of unique spans, whichever way the sums arrive."""
+    rows = [(f"k{n % 3}", f"{n % 97:032x}", f"{n:016x}", None, "x" * (20 + 13 * n % 400)) for n in range(1500)]
+    later = [(f"k{n % 2}", t, i, kind, text + "y") for n, (_, t, i, kind, text) in enumerate(rows[:500])]
+    columns = "pack_key string, trace_id string, id string, kind string, json string"
+
+    def sized(held):
+        df = spark.createDataFrame(held, columns)
+        return df.withColumn("size", (F.octet_length("json") + 1).cast("bigint"))
+
+    plain = packing.queue_messages(packing.pack_spans(sized(rows), 8192, True, 16).drop("bucket", "split"))
+    packed = packing.pack_spans(sized(rows + later), 8192, True, 16, [F.col("json")], few_keys)
+    assert sorted(packing.queue_messages(packed).collect()) == sorted(plain.collect())
+    assert 0 < packed.filter("split").count() < packed.count()
+    if few_keys:
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+        # spans by bucket, for each of two readers that share it when it runs, and sums by key
+        assert plan.count("Exchange hashpartitioning(bucket") == 2
+        assert plan.count("Exchange hashpartitioning(pack_key") == 1
