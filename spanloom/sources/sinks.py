@@ -23,5 +23,6 @@ def write_oversize(oversize: DataFrame, path: str) -> None:
 
 
 def write_segments(documents: DataFrame, path: str) -> None:
-    """One datagram per document: the header line, then the document line."""
-    documents.select(datagram(F.col("document")).alias("value")).write.mode("overwrite").text(path)
+    """One datagram per document: the header line, then the document line; files are gzipped, as documents repeat much."""
+    lines = documents.select(datagram(F.col("document")).alias("value"))
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
