@@ -25,6 +25,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row stays, with the smallest ID; links are exact.
 
+    Operator 1 finds the groups, their links are checked on whole shingle sets, and what fingerprints
+    cannot reach is found from the sets (``jaccard``).
     A row is known by its ID and its shingle set, so texts of repeated or null IDs are told apart; of rows that
     share both, the first text in order stays.  The texts move once, at any size of the input: the
     list of kept rows grows with the corpus and is sent out only where its stored size is small.

@@ -1,4 +1,9 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles: prefix filter, then verification.
+"""Near-duplicates by exact Jaccard similarity of word shingles: operator 1, then what it cannot reach.
+
+Operator 1 (``simhash``: fingerprints, shards, vantage-point trees) groups texts whose fingerprints are close.
+Each set of a group is compared exactly with the group's centre, the set nearest to the majority of
+the group's bits; similar ones are linked.  A fingerprint cannot decide a Jaccard similarity, so all
+other pairs are found by prefixes:
 
 Two sets of similarity ``t`` or more share a member among the first ``n - ceil(t * n) + 1`` of each,
 in any order of all members that both follow.  Those prefixes are the candidate route, so no link is
@@ -7,8 +12,9 @@ shows to be common last: it decides how many candidates there are, never which l
 
 Pairs of a bucket (sets with one prefix member) are all candidates up to ``LEAF`` sets.  Members of
 larger buckets go last in the order, and the sets of those buckets are dealt anew by it, ``DEALS`` times in
-all.  What is still a larger bucket then holds sets that are mostly made of common members: it is
-compared with its smallest set first, then with further ones, as long as it has sets of two components.
+all.  What is still a larger bucket then holds sets that are mostly made of common members.  Its sets are
+compared with one centre and dealt by what sets them apart from it (``_rest``): two sets differ in
+the members in which these differences differ.
 
 Whole sets move for pairs that sizes and parity sketches allow, a few partners a set at a time; pairs that
 are connected meanwhile are not compared any more.
@@ -27,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import Batches, map_rows, stored, strings
+from spanloom.llm import simhash
+from spanloom.llm.common import Batches, map_rows, run_bounds, sorted_runs, stored, strings
 from spanloom.llm.components import components
 from spanloom.llm.simhash import shingle_hashes
 
@@ -40,8 +47,10 @@ SAMPLED, COMMON = 32, 200_000
 DEALS = 3
 #: Partners of a set that are compared in a round, and the growth of their number.
 PARTNERS, MORE_PARTNERS = 8, 8
-#: Rounds in which sets of a larger bucket are compared with one of its largest component.
-HUBS = 2
+#: Differing bits at which operator 1 links fingerprints; exact for one lane.
+RADIUS = 4
+#: Rows of a bucket that are compared with others at once.
+_BLOCK = 256
 _SEEN = 200_000
 
 
@@ -134,7 +143,7 @@ def _dealt(
     rows: DataFrame, words: int, limit: Fraction, order: Order,
     busy: tuple[Order, np.ndarray] | None = None,
 ) -> DataFrame:
-    """``(seed, size, point)`` for the prefix of every text; copies seen by a task come once.
+    """``(seed, size, point, place)`` for the prefix of every text; copies seen by a task come once.
 
     ``busy`` holds the order of the last deal and the members whose buckets were too large in it: only sets
     of those buckets are dealt.
@@ -145,7 +154,7 @@ def _dealt(
         order, busy = shared.value
         seen: set[int] = set()
         for batch in batches:
-            seeds, sizes, points = [], [], []
+            seeds, sizes, points, places = [], [], [], []
             for text in strings(batch.column("text")):
                 members = shingle_set(text, words)
                 if busy and not _among(busy[0].prefix(members, limit), busy[1]).any():
@@ -160,18 +169,20 @@ def _dealt(
                 seeds.append(own)
                 sizes.append(np.full(len(own), len(members), np.int32))
                 points.append(np.full(len(own), point, np.int64))
+                places.append(np.arange(len(own), dtype=np.int32))
             if seeds:
                 yield {
                     "seed": np.concatenate(seeds), "size": np.concatenate(sizes),
-                    "point": np.concatenate(points),
+                    "point": np.concatenate(points), "place": np.concatenate(places),
                 }
 
-    return map_rows(rows, run, "seed long, size int, point long")
+    return map_rows(rows, run, "seed long, size int, point long, place int")
 
 
-def _deal(rows: DataFrame, words: int, limit: Fraction) -> DataFrame:
-    """Candidates of all deals, stored: ``seed`` is null for those of small buckets.
+def _deal(rows: DataFrame, words: int, limit: Fraction) -> tuple[DataFrame, Order]:
+    """Candidates of all deals, stored, and the last order.
 
+    Rows without a ``seed`` are pairs ``(u, v)`` of small buckets; the others are the sets ``u`` of larger ones.
     A deal passes on the members of its ``COMMON`` largest buckets; buckets beyond those stay as they are.
     """
     order, busy, out = _common(rows, words), None, []
@@ -179,43 +190,49 @@ def _deal(rows: DataFrame, words: int, limit: Fraction) -> DataFrame:
         dealt = _dealt(rows, words, limit, order, busy).repartition("seed")
         found = stored(
             map_rows(
-                dealt.sortWithinPartitions("seed", "size", "point"), _candidates(limit),
-                "seed long, u long, v long, near boolean",
+                dealt.sortWithinPartitions("seed", "size", "point"), _candidates(limit), "seed long, u long, v long",
             ), "candidates",
         )
         counted = found.filter("seed IS NOT NULL").groupBy("seed").count()
         again = stored(counted.orderBy(F.desc("count"), "seed").limit(COMMON), "busy")
         largest = again.toArrow()
         if deal + 1 == DEALS or not largest.num_rows:
-            return reduce(DataFrame.union, [*out, found])
+            return reduce(DataFrame.union, [*out, found]), order
         out.append(found.join(again.select(F.col("seed").alias("_busy")), F.col("seed") == F.col("_busy"), "left_anti"))
         seeds = np.sort(largest.column("seed").to_numpy().view(np.uint64))
         order, busy = _order(order, largest, 1), (order, seeds)
 
 
+def apart(n: int, m: int, limit: Fraction) -> int:
+    """In how many members sets of these sizes may differ if they are similar."""
+    return (n + m) * (limit.denominator - limit.numerator) // (limit.denominator + limit.numerator)
+
+
 def _candidates(limit: Fraction):
-    """Pairs of small buckets (seed null), and the smallest set of a larger one with each other
-    set.  Rows come sorted by seed, size and point; no more than ``LEAF`` sets are held."""
+    """Pairs of small buckets (seed null) that sizes and places allow, and the sets of larger ones.
+
+    The bucket of the first member that two similar sets share, in the order, has room for all the others behind
+    it.  Rows come sorted by seed, size and point; no more than ``LEAF`` sets are held."""
 
     def run(batches: Batches) -> Iterator[dict]:
         seed, held, large, last = None, [], False, None
-        out: dict[str, list] = {c: [] for c in ("seed", "u", "v", "near")}
+        out: dict[str, list] = {c: [] for c in ("seed", "u", "v")}
 
-        def put(s, a, b):
-            near = a[0] * limit.denominator >= b[0] * limit.numerator
-            if near or s is not None:
-                for column, v in zip(out.values(), (s, a[1], b[1], near), strict=True):
-                    column.append(v)
+        def put(*row):
+            for column, v in zip(out.values(), row, strict=True):
+                column.append(v)
 
         def close():
             if not large:
-                for i, a in enumerate(held):
-                    for b in held[i + 1:]:
-                        put(None, a, b)
+                for i, (n, p, at) in enumerate(held):
+                    for m, other, there in held[i + 1:]:
+                        shared = min(n - at, m - there)
+                        if n + m - 2 * shared <= apart(n, m, limit):
+                            put(None, p, other)
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("seed", "size", "point"))
-            for s, n, p in zip(*columns, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("seed", "size", "point", "place"))
+            for s, n, p, at in zip(*columns, strict=True):
                 if s != seed:
                     close()
                     seed, held, large, last = s, [], False, None
@@ -224,12 +241,12 @@ def _candidates(limit: Fraction):
                 last = p
                 if not large and len(held) == LEAF:
                     large = True
-                    for b in held[1:]:
-                        put(s, held[0], b)
+                    for b in held:
+                        put(s, b[1], None)
                 if large:
-                    put(s, held[0], (n, p))
+                    put(s, p, None)
                 else:
-                    held.append((n, p))
+                    held.append((n, p, at))
             if out["u"]:
                 yield out
                 out = {c: [] for c in out}
@@ -271,11 +288,7 @@ def _settled(
     """
     if pairs.isEmpty():
         return links
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("point")).distinct()
-    chosen = stored(
-        points.join(ends, "point", "left_semi").select(F.col("first_id").alias("_id")).distinct(), "chosen"
-    )
-    sets = stored(_sets(rows, chosen, words), "sets")
+    sets = _sets_of(pairs, rows, points, words)
     while True:
         by_u = Window.partitionBy("v").orderBy("u")
         ranked = pairs.withColumn("_rank", F.row_number().over(by_u))
@@ -284,9 +297,9 @@ def _settled(
         left = ranked.filter(F.col("_rank") > partners).select("u", "v")
         if left.isEmpty():
             return links
-        roots = components(_texts(links))
+        roots = _roots(links)
         # a link per set says as much
-        links = roots.select(F.col("node").cast("long").alias("u"), F.col("root").cast("long").alias("v"))
+        links = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
         pairs = stored(_apart(left, roots), "left")
         if pairs.isEmpty():
             return links
@@ -316,13 +329,20 @@ def _possible(pairs: DataFrame, sets: DataFrame, limit: Fraction) -> DataFrame:
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs in different components."""
-    own = roots.select(F.col("node").cast("long").alias("_node"), F.col("root").cast("long").alias("_root"))
+    own = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     joined = pairs.join(own, F.col("u") == F.col("_node"), "left").select(
         "u", "v", F.coalesce("_root", "u").alias("_of_u")
     ).join(own, F.col("v") == F.col("_node"), "left")
     return joined.filter(F.col("_of_u") != F.coalesce("_root", "v")).select("u", "v")
 
 
+def _sets_of(pairs: DataFrame, rows: DataFrame, points: DataFrame, words: int) -> DataFrame:
+    """The whole sets of the points in pairs, stored."""
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("point")).distinct()
+    chosen = points.join(ends, "point", "left_semi").select(F.col("first_id").alias("_id")).distinct()
+    return stored(_sets(rows, stored(chosen, "chosen"), words), "sets")
+
+
 def _sets(rows: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
     """``(point, members)`` of the chosen IDs' texts; copies seen by a task come once.
 
@@ -345,11 +365,6 @@ def _sets(rows: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
     return found.dropDuplicates(["point"])
 
 
-def _points(batches: Batches, words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for batch in batches:
-        yield batch, [shingle_set(t, words) for t in strings(batch.column("text"))]
-
-
 def with_point(docs: DataFrame, words: int = 5, text_column: str = "text", point: str = "_point") -> DataFrame:
     """The same rows with the name of their shingle set."""
     kind = docs.schema.simpleString().removeprefix("struct<").removesuffix(">")
@@ -384,30 +399,31 @@ def near_duplicates(
     )
 
     def named(batches: Batches) -> Iterator[dict]:
-        for batch, sets in _points(batches, words):
+        for batch in batches:
+            hashes = [shingle_hashes(t, words) for t in strings(batch.column("text"))]
+            sets = [np.unique(h) for h in hashes]
             yield {
                 "id": batch.column("id"), "point": [point_of(m) for m in sets], "size": [len(m) for m in sets],
-                "parity": [parity(m) for m in sets],
+                "parity": [parity(m) for m in sets], "fp0": [simhash.fingerprint(h)[0] for h in hashes],
             }
 
-    keyed = stored(map_rows(rows, named, "id long, point long, size long, parity binary"), "points")
-    points = stored(
-        keyed.groupBy("point").agg(
-            F.min("id").alias("first_id"), F.min("size").alias("size"), F.min("parity").alias("parity")
-        ), "first",
-    )
-    found = _deal(rows, words, limit)
-    close = found.filter("near").select("u", "v").distinct()
-    pairs = stored(_possible(close, points, limit), "possible")
-    none = stored(pairs.limit(0), "links")
-    links = _settled(pairs, none, rows, points, words, limit, PARTNERS)
-    large = found.filter("seed IS NOT NULL").select("seed", "u", "v")
-    links = _rest(large, links, rows, points, words, limit)
-    roots = components(_texts(links))
+    keyed = stored(map_rows(rows, named, "id long, point long, size long, parity binary, fp0 long"), "points")
+    first = [F.min(c).alias(c) for c in ("size", "parity", "fp0")]
+    points = stored(keyed.groupBy("point").agg(F.min("id").alias("first_id"), *first), "first")
+    links = _grouped(rows, points, words, limit)
+    centres = stored(links.groupBy("u").agg(F.count(F.lit(1)).alias("linked")), "centres")
+    found, order = _deal(rows, words, limit)
+    close = found.filter("seed IS NULL").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    open_pairs = _apart(close.distinct(), _roots(links))
+    pairs = stored(_possible(open_pairs, points, limit), "possible")
+    links = _settled(pairs, links, rows, points, words, limit, PARTNERS)
+    large = found.filter("seed IS NOT NULL").select("seed", F.col("u").alias("point"))
+    links = _rest(large, links, centres, rows, points, words, limit, order)
+    roots = _roots(links)
     rooted = stored(
         points.select("point", "first_id").join(
-            roots.select(F.col("node").cast("long").alias("point"), "root"), "point", "left"
-        ).select("point", "first_id", F.coalesce(F.col("root").cast("long"), "point").alias("root")),
+            roots.select(F.col("node").alias("point"), "root"), "point", "left"
+        ).select("point", "first_id", F.coalesce("root", "point").alias("root")),
         "rooted",
     )
     first = F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "point"))
@@ -424,58 +440,165 @@ def near_duplicates(
     )
 
 
-def _texts(links: DataFrame) -> DataFrame:
-    return links.select(*[F.col(c).cast("string").alias(c) for c in "uv"])
+def _roots(links: DataFrame) -> DataFrame:
+    """``(node, root)`` of the links' components."""
+    found = components(links.select(*[F.col(c).cast("string").alias(c) for c in "uv"]))
+    return found.select(*[F.col(c).cast("long").alias(c) for c in ("node", "root")])
+
+
+def _grouped(rows: DataFrame, points: DataFrame, words: int, limit: Fraction) -> DataFrame:
+    """Links ``(u, v)`` of the centres ``u`` of operator 1's groups with those of their sets that are similar.
+
+    A group has one comparison less than sets.  Its centre is nearest to the bits that most of its fingerprints have.
+    """
+    prints = points.select("point", "size", "fp0", simhash.key([F.col("fp0")]).alias("fingerprint"))
+    roots = components(simhash.links(points.select("fp0").distinct(), 1, RADIUS))
+    grouped = stored(
+        prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+            "point", "size", "fp0", F.coalesce("root", "fingerprint").alias("root")
+        ), "groups",
+    )
+    votes = [F.sum(F.getbit("fp0", F.lit(i)).cast("long")).alias(f"_b{i}") for i in range(64)]
+    counted = grouped.groupBy(F.col("root").alias("_root")).agg(F.count(F.lit(1)).alias("_n"), *votes).filter("_n > 1")
+    bits = [F.when(F.col(f"_b{i}") * 2 > F.col("_n"), F.shiftleft(F.lit(1).cast("long"), i)) for i in range(64)]
+    most = counted.select("_root", reduce(lambda a, b: a.bitwiseOR(b), [
+        F.coalesce(b, F.lit(0).cast("long")) for b in bits
+    ]).alias("_most"))
+    met = stored(grouped.join(most, F.col("root") == F.col("_root")).select(
+        "root", "point", F.struct(F.bit_count(F.col("fp0").bitwiseXOR(F.col("_most"))), "size", "point").alias("near")
+    ), "met")
+    centre = met.groupBy(F.col("root").alias("_root")).agg(F.min("near").alias("_near"))
+    pairs = met.join(centre, F.col("root") == F.col("_root")).select(
+        F.col("_near.point").alias("u"), F.col("point").alias("v")
+    ).filter("u != v")
+    possible = stored(_possible(pairs, points, limit), "possible")
+    if possible.isEmpty():
+        return possible
+    return stored(_verified(possible, _sets_of(possible, rows, points, words), limit), "linked")
+
+
+def _order_of_difference(own: np.ndarray, centre: np.ndarray, order: Order) -> np.ndarray:
+    """Members of one side only: those of the set, common ones last, before those of the centre."""
+    added, removed = (np.setdiff1d(a, b, assume_unique=True) for a, b in ((own, centre), (centre, own)))
+    known = _among(added, order.members)
+    weight = known.astype(np.int64)
+    weight[known] = order.counts[np.searchsorted(order.members, added[known])]
+    return np.concatenate([added[np.argsort(weight, kind="stable")], removed])
+
+
+def difference_prefix(n: int, centre: int, differ: int, limit: Fraction) -> tuple[bool, int]:
+    """Whether a set of ``n`` members is similar to its centre, and how much of its difference it is dealt by.
+
+    Sets that differ from a centre in ``X`` and ``Y`` differ in ``|X| + |Y| - 2|X & Y|`` members, which must be
+    at most their part of both sizes.  If both were similar to the centre they would be linked.  Otherwise they
+    share a member of their differences; and at least ``|X|`` less what similar sets may differ in.  A set that is
+    similar to the centre meets only those that are not, and shares over half of its own difference with them.
+    """
+    part, whole = limit.denominator - limit.numerator, limit.denominator + limit.numerator
+    if differ <= apart(n, centre, limit):
+        shared = max(1, (whole * differ + part * (centre - n)) // (2 * whole) + 1)
+        return True, max(1, differ - shared + 1)
+    return False, min(differ, n * part // limit.numerator + 1)
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, limit: Fraction, order: Order) -> DataFrame:
+    """``(centre, seed, point, size, differ, place, linked)``: what sets differ in from their centres."""
+    shared = pairs.sparkSession.sparkContext.broadcast(order)
+
+    def run(batches: Batches) -> Iterator[dict]:
+        for batch in batches:
+            names = ("centre", "seed", "point", "size", "differ", "place", "linked", "root")
+            out: dict[str, list] = {c: [] for c in names}
+            left, right = batch.column("left"), batch.column("right")
+            columns = (batch.column(c).to_pylist() for c in ("v", "u", "root"))
+            for i, (point, centre, root) in enumerate(zip(*columns, strict=True)):
+                c, own = (np.frombuffer(side[i].as_buffer(), np.uint64) for side in (left, right))
+                found = _order_of_difference(own, c, shared.value)
+                linked, size = difference_prefix(len(own), len(c), len(found), limit)
+                seeds = found[:size].view(np.int64)
+                out["seed"].append(seeds)
+                out["place"].append(np.arange(len(seeds)))
+                row = {"centre": centre, "point": point, "size": len(own), "differ": len(found), "linked": linked}
+                for column, value in {**row, "root": root}.items():
+                    out[column].append(np.full(len(seeds), value))
+            if out["seed"]:
+                yield {c: np.concatenate(v) for c, v in out.items()}
+
+    one = pairs.join(sets.select(F.col("point").alias("u"), F.col("members").alias("left")), "u")
+    both = one.join(sets.select(F.col("point").alias("v"), F.col("members").alias("right")), "v")
+    return map_rows(
+        both.select("u", "v", "root", "left", "right"), run,
+        "centre long, seed long, point long, size long, differ long, place long, linked boolean, root long",
+    )
+
+
+def _differ_alike(limit: Fraction):
+    """Pairs of one centre and seed that sizes, differences and places allow, of two components.
+
+    A bucket stands as numbers; blocks of its rows are compared with the rows of sizes that may be similar."""
+    part, whole = limit.denominator - limit.numerator, limit.denominator + limit.numerator
+
+    def run(batches: Batches) -> Iterator[dict]:
+        for group in sorted_runs(batches, ["centre", "seed"]):
+            point, size, differ, place, linked, root = (
+                np.asarray(group.column(c))
+                for c in ("point", "size", "differ", "place", "linked", "root")
+            )
+            room = differ - place
+            bounds = run_bounds(group, ["centre", "seed"])
+            for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                for at in range(start, end - 1, _BLOCK):
+                    stop = min(at + _BLOCK, end)
+                    last = start + np.searchsorted(
+                        size[start:end], size[stop - 1] * limit.denominator // limit.numerator, "right"
+                    )
+                    a, b = np.arange(at, stop)[:, None], np.arange(at + 1, last)[None, :]
+                    least = differ[a] + differ[b] - 2 * np.minimum(room[a], room[b])
+                    near = (b > a) & (least * whole <= (size[a] + size[b]) * part) & (root[a] != root[b])
+                    u, v = np.nonzero(near & ~(linked[a] & linked[b]))
+                    if len(u):
+                        left, right = point[u + at], point[v + at + 1]
+                        yield {"u": np.minimum(left, right), "v": np.maximum(left, right)}
+
+    return run
 
 
 def _rest(
-    large: DataFrame, links: DataFrame, rows: DataFrame, points: DataFrame, words: int, limit: Fraction
+    large: DataFrame, links: DataFrame, centres: DataFrame, rows: DataFrame, points: DataFrame, words: int,
+    limit: Fraction, order: Order,
 ) -> DataFrame:
-    """``links`` and those among the sets of larger buckets, whose smallest sets are compared already.
+    """``links`` and those among the sets of larger buckets.
 
-    In each round, centres of a bucket are compared with its sets of other components, and leave it.  For
-    ``HUBS`` rounds the centre is of the component with most sets, so that only the others are compared;
-    from then on centres are of the components with fewest, a growing number of them.  It ends when no
-    bucket has sets of two components: then every pair of a bucket is connected or was compared.
+    The centre of a bucket is that of the component with most of its sets.  Every set is compared with its buckets'
+    centres, once each, and dealt by its difference from them, so that near copies which just miss the limit
+    do not meet for what all copies share.
     """
-    members = stored(
-        large.select("seed", F.col("v").alias("point")).distinct().join(points.select("point", "size"), "point"),
-        "members",
+    known = stored(_roots(links), "known")
+    rooted = large.distinct().join(known.withColumnRenamed("node", "point"), "point", "left").select(
+        "seed", "point", F.coalesce("root", "point").alias("root")
     )
-    p, q = limit.denominator, limit.numerator
-    turn, centres = 0, 1
-    while not members.isEmpty():
-        known = components(_texts(links)).select(
-            F.col("node").cast("long").alias("point"), F.col("root").cast("long").alias("root")
-        )
-        rooted = members.join(known, "point", "left").select(
-            "seed", "point", "size", F.coalesce("root", "point").alias("root")
-        )
-        mixed = rooted.groupBy("seed").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
-        left = stored(rooted.join(mixed.filter("_low < _high").select("seed"), "seed", "left_semi"), "mixed")
-        if left.isEmpty():
-            break
-        grouped = left.groupBy("seed", "root").agg(
-            F.count(F.lit(1)).alias("_n"), F.min(F.struct("size", "point")).alias("_centre")
-        )
-        often = F.col("_n").desc() if turn < HUBS else F.col("_n")
-        first = Window.partitionBy("seed").orderBy(often, "root")
-        chosen = stored(
-            grouped.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= centres).select(
-                F.col("seed").alias("_seed"), F.col("root").alias("_root"), F.col("_centre.size").alias("_size"),
-                F.col("_centre.point").alias("_centre"),
-            ), "centres",
-        )
-        near = (F.least("size", "_size") * p >= F.greatest("size", "_size") * q)
-        pairs = left.join(
-            chosen, (F.col("seed") == F.col("_seed")) & (F.col("root") != F.col("_root")) & near
-        ).select(F.least("point", "_centre").alias("u"), F.greatest("point", "_centre").alias("v")).distinct()
-        links = _settled(
-            stored(_possible(pairs, points, limit), "possible"), links, rows, points, words, limit,
-            PARTNERS * MORE_PARTNERS,
-        )
-        done = (F.col("seed") == F.col("_seed")) & (F.col("point") == F.col("_centre"))
-        members = stored(left.join(chosen, done, "left_anti").select("seed", "point", "size"), "members")
-        turn += 1
-        centres = 1 if turn < HUBS else centres * MORE_PARTNERS
-    return links
+    counted = stored(rooted.groupBy("seed", "root").agg(F.count(F.lit(1)).alias("n")), "counted")
+    most = counted.groupBy("seed").agg(
+        F.max_by("root", F.struct("n", "root")).alias("_root"), F.count(F.lit(1)).alias("_roots")
+    )
+    hubs = centres.join(known, F.col("u") == F.col("node")).groupBy(F.col("root").alias("_of")).agg(
+        F.max_by("u", F.struct("linked", "u")).alias("_hub")
+    )
+    chosen = most.filter("_roots > 1").join(hubs, F.col("_root") == F.col("_of"), "left").select(
+        F.col("seed").alias("_seed"), F.coalesce("_hub", "_root").alias("u")
+    )
+    pairs = stored(
+        rooted.join(chosen, F.col("seed") == F.col("_seed")).select("u", F.col("point").alias("v"), "root")
+        .filter("u != v").distinct(), "compared",
+    )
+    if pairs.isEmpty():
+        return links
+    differences = stored(
+        _differences(pairs, _sets_of(pairs, rows, points, words), limit, order), "differences"
+    )
+    dealt = differences.repartition("centre", "seed").sortWithinPartitions("centre", "seed", "size", "point")
+    met = map_rows(dealt, _differ_alike(limit), "u long, v long").distinct()
+    tied = differences.filter("linked AND place = 0").select(F.col("centre").alias("u"), F.col("point").alias("v"))
+    links = stored(links.union(tied), "linked")
+    possible = stored(_possible(_apart(met, _roots(links)), points, limit), "possible")
+    return _settled(possible, links, rows, points, words, limit, PARTNERS)

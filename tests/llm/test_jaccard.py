@@ -105,3 +105,44 @@ def test_prefixes_of_similar_sets_meet():
         if jaccard.similar(a, b, limit):
             assert set(jaccard.prefix(a, common, limit)) & set(jaccard.prefix(b, common, limit))
     assert jaccard.prefix_size(10, limit) == 3 and jaccard.prefix_size(0, limit) == 0
+
+
+def test_differences_of_similar_sets_meet():
+    rng = random.Random(11)
+    limit, met = jaccard.exact(0.8), 0
+    order = jaccard.Order(np.arange(0, 40, dtype=np.uint64), np.arange(40, dtype=np.int64))
+
+    def moved(members, more, fewer):
+        together = set(members.tolist()) | set(rng.sample(range(120), more))
+        return np.array(sorted(together - set(rng.sample(range(120), fewer))), np.uint64)
+
+    for _ in range(3000):
+        n = rng.randrange(4, 60)
+        centre = np.array(sorted(rng.sample(range(120), n)), np.uint64)
+        x = moved(centre, rng.randrange(9), rng.randrange(25))
+        y = moved(x, rng.randrange(4), rng.randrange(8))
+        dealt = []
+        for s in (x, y):
+            differ = jaccard._order_of_difference(s, centre, order)
+            linked, size = jaccard.difference_prefix(len(s), len(centre), len(differ), limit)
+            assert linked == jaccard.similar(s, centre, limit)
+            dealt.append((linked, set(differ[:size].tolist())))
+        if jaccard.similar(x, y, limit) and not np.array_equal(x, y) and not (dealt[0][0] and dealt[1][0]):
+            met += 1
+            assert dealt[0][1] & dealt[1][1]
+    assert met > 100
+
+
+def test_near_copies_around_the_limit_do_not_meet_in_pairs(make_docs, monkeypatch):
+    """Operator 1 groups them first; the rest is dealt by what sets it apart."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(104)]
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(0, 5)))) for i in range(240)]
+    used, met = [], []
+    links, possible = jaccard.simhash.links, jaccard._possible
+    monkeypatch.setattr(jaccard.simhash, "links", lambda *given: used.append(given[1:]) or links(*given))
+    monkeypatch.setattr(jaccard, "_possible", lambda pairs, *given: met.append(pairs.count()) or possible(pairs, *given))
+    found = jaccard.near_duplicates(make_docs(*rows)).filter("stays").collect()
+    assert sorted(r.id for r in found) == brute_kept(rows)
+    assert used == [(1, jaccard.RADIUS)]
+    assert sum(met) < 6 * len(rows)
