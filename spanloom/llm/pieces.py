@@ -28,6 +28,8 @@ _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 MEMORY = 500_000
 #: Words of up to these lengths are encoded side by side, longer ones on their own.
 SHORT = (8, 16, 40)
+#: So many words are encoded and checked at once: what stands in memory meanwhile does not grow with a batch.
+_AT_ONCE = 2_000
 #: More than there are symbols: pieces and all code points.
 _NUMBERS = 1 << 22
 
@@ -103,8 +105,8 @@ class Vocabulary:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         for low, high in zip((0, *SHORT[:-1]), SHORT, strict=True):
             chosen = np.flatnonzero((sizes > low) & (sizes <= high))
-            for at in range(0, len(chosen), 20_000):
-                some = chosen[at:at + 20_000]
+            for at in range(0, len(chosen), _AT_ONCE):
+                some = chosen[at:at + _AT_ONCE]
                 for i, ids in zip(some.tolist(), self._encode_rows([words[i] for i in some], high), strict=True):
                     out[i] = ids
         for i in np.flatnonzero(sizes > SHORT[-1]).tolist():
@@ -227,9 +229,11 @@ class Encoder:
         for words in split:
             met.update(words)
         new = list(met.difference(self.known))
-        made = self.vocabulary.encode_words(new)
-        self._check_words(new, made)
-        self.known.update(zip(new, made, strict=True))
+        for at in range(0, len(new), len(SHORT) * _AT_ONCE):
+            some = new[at:at + len(SHORT) * _AT_ONCE]
+            made = self.vocabulary.encode_words(some)
+            self._check_words(some, made)
+            self.known.update(zip(some, made, strict=True))
         begin, end = (struct.pack("<I", i) for i in (self.vocabulary.begin, self.vocabulary.end))
         known = self.known.__getitem__
         return [np.frombuffer(b"".join([begin, *map(known, words), end]), "<u4") for words in split]
