@@ -23,9 +23,10 @@ _CALLER = "/caller"
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:
-    """A table in the shared folder: cuts the lineage between rounds."""
+    """A table in the shared folder: cuts the lineage between rounds; the shuffles behind it go."""
     path = session.new_run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with session.dropping_shuffles(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -34,14 +35,22 @@ def _failed() -> Column:
     return F.col("tags")["error"].isNotNull() | F.coalesce(status >= 500, F.lit(False))
 
 
+def _facts(spans: DataFrame) -> DataFrame:
+    """What links need of a span: no tags, only what they say of a failure."""
+    return spans.select(
+        "trace_id", "id", "parent_id", "kind", "timestamp", "local_service", "remote_service",
+        _failed().alias("failed"),
+    )
+
+
 def _nodes(spans: DataFrame) -> DataFrame:
-    """``(trace_id, node, up, ...)``: one row per end of each span; ``up`` is the node it hangs on.
+    """``(trace_id, node, up, ...)``: one row per end of each span of ``_facts``; ``up`` is the node it hangs on.
 
     Of several spans of one end the first in the order of (service, remote service, parent, kind) counts, nulls first.
     """
     fields = F.struct(
         F.col("local_service").alias("service"), F.col("remote_service").alias("remote"), "parent_id", "kind",
-        "timestamp", _failed().alias("failed"),
+        "timestamp", "failed",
     )
     incoming = F.coalesce(F.expr(_INCOMING), F.lit(False))
     ends = spans.groupBy("trace_id", "id").agg(
@@ -70,12 +79,12 @@ def nearest(pointers: DataFrame, rounds: int) -> DataFrame:
     one takes over that of the node it points at, and has no end if there is none.  After ``rounds`` rounds it went
     2^rounds steps; what still moves then runs in a circle and has no end.
 
-    Only pointers that move are written anew.  Both sides of the join are tables, so that adaptive execution may
-    split a node that very many others point at.
+    Pointers are written once, so that what made them runs once, and then only those that move.  Both sides
+    of the join are tables, so that adaptive execution may split a node that very many others point at.
     """
     found, up = F.col("found"), F.col("up").isNotNull()
-    settled = [_kept(pointers.filter(found | ~up), "settled")]
-    moving = _kept(pointers.filter(~found & up), "moving")
+    begun = _kept(pointers, "pointers")
+    settled, moving = [begun.filter(found | ~up)], begun.filter(~found & up)
     for _ in range(rounds):
         if moving.isEmpty():
             break
@@ -132,7 +141,8 @@ def service_links(spans: DataFrame, end_ts: int, lookback: int) -> DataFrame:
     start, end = (end_ts - lookback) * 1000, end_ts * 1000
     known = spans.filter(F.col("trace_id").isNotNull() & F.col("id").isNotNull())
     recent = store.between(known, start, end, undated=False).select("trace_id").distinct()
-    nodes = _kept(_nodes(known.join(recent, "trace_id", "left_semi")), "nodes")
+    # the tags are done with before the spans move
+    nodes = _kept(_nodes(_facts(known).join(recent, "trace_id", "left_semi")), "nodes")
     callers = _callers(nodes).select(
         F.col("trace_id").alias("_trace"), F.col("node").alias("_node"), F.col("service").alias("_caller")
     )

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom import schema, session
-from spanloom.operators import postings, store
+from spanloom.operators import links, postings, store
 
 DAY = 86_400_000_000
 WINDOW = {"end_ts": 2 * DAY // 1000, "lookback": 2 * DAY // 1000}
@@ -100,3 +100,18 @@ def test_index_leaves_no_shuffle_and_moves_postings_once(spark, path, monkeypatc
             ["day", "term", "trace_id"], 4, once=True,
         )
     assert len({k.split("_")[1] for k in kept}) == 1
+
+
+def test_links_move_no_tags_and_leave_no_shuffle(spark, path, large_tables, monkeypatch):
+    stored = store.read_spans(spark, path)
+    with new_shuffles(spark, wait=True) as left:
+        found = links.service_links(stored, **WINDOW)
+    # sizes of traces alone
+    assert sum(left.values()) < 50_000
+    rows = {(r.parent, r.child): (r.call_count, r.error_count) for r in found.collect()}
+    assert rows == {(f"s{i}", f"s{i + 1}"): (500, 0) for i in range(3)}
+    monkeypatch.setattr(session, "dropping_shuffles", lambda spark: contextlib.nullcontext())
+    with new_shuffles(spark) as kept:
+        links.service_links(stored, **WINDOW)
+    # the tags alone are two million characters
+    assert 0 < sum(kept.values()) < 700_000
