@@ -80,7 +80,7 @@ def pack_spans(
         .when(F.col("size") > large, F.lit(ALONE))
         .when(F.col("size") > small, F.lit(LARGE))
         .otherwise(F.lit(SHARED)),
-    )
+    ).filter(F.col("pack_key").isNotNull())
 
     # running bytes of either class; spans of another class add nothing to them
     def bytes_of(label: str) -> Column:
@@ -101,7 +101,9 @@ def pack_spans(
     )
     running = labelled.select("*", *[
         F.sum(bytes_of(label)).over(inside).alias(f"{label}_running") for label in classes
-    ]).join(F.broadcast(offsets) if few_keys else offsets, ["pack_key", "bucket"])
+    ])
+    # every key and bucket has its offsets; as a left join they are left out, sums and all, where nobody asks for a batch
+    running = running.join(F.broadcast(offsets) if few_keys else offsets, ["pack_key", "bucket"], "left")
     batch = F.when(
         F.col("packing") == ALONE,
         F.concat_ws("-", F.lit("a"), "trace_id", "id", F.coalesce("kind", F.lit(""))),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom import session
 from spanloom.functions.segment import datagram
 
 
@@ -19,7 +20,9 @@ def write_stream_records(records: DataFrame, path: str) -> None:
 
 def write_oversize(oversize: DataFrame, path: str) -> None:
     """Quarantine of spans too large for any message: identity, size and the whole JSON text."""
-    oversize.select("pack_key", "trace_id", "id", "kind", "size", "json").write.mode("overwrite").parquet(path)
+    whole = oversize.select("pack_key", "trace_id", "id", "kind", "size", "json")
+    with session.dropping_shuffles(oversize.sparkSession):
+        whole.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def write_segments(documents: DataFrame, path: str) -> None:

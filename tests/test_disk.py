@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom import schema, session
-from spanloom.operators import links, postings, store
+from spanloom.operators import links, packing, postings, store
+from spanloom.sources import sinks
 
 DAY = 86_400_000_000
 WINDOW = {"end_ts": 2 * DAY // 1000, "lookback": 2 * DAY // 1000}
@@ -115,3 +116,24 @@ def test_links_move_no_tags_and_leave_no_shuffle(spark, path, large_tables, monk
         links.service_links(stored, **WINDOW)
     # the tags alone are two million characters
     assert 0 < sum(kept.values()) < 700_000
+
+
+def test_oversize_spans_move_once(spark, spans, monkeypatch):
+    """Neither sums nor batches are made for them; spans without a key are in no message and not in quarantine."""
+    monkeypatch.setattr(session, "dropping_shuffles", lambda spark: contextlib.nullcontext())
+    number = F.conv(F.col("id"), 16, 10).cast("int")
+    long = F.when(number % 100 == 0, F.repeat(F.lit("z"), 20_000)).otherwise(F.lit("z"))
+    # every tenth span is reported twice; of every hundredth the first report has no key
+    twice = spans.withColumn("tags", F.create_map(F.lit("note"), long)).withColumn("name", F.explode(
+        F.when(number % 10 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("b")))))
+    key = F.when((number % 200 != 0) | (F.col("name") != "a"), F.col("local_service"))
+    reported = packing.encode_spans(twice, key)
+    packed = packing.pack_spans(reported, 16 * 1024, first_by=[F.col("json")], few_keys=True)
+    place = session.new_run_dir(spark, "disk-oversize")
+    with new_shuffles(spark) as kept:
+        sinks.write_oversize(packing.oversize_spans(packed), place)
+    assert len({k.split("_")[1] for k in kept}) == 1
+    found = {int(r.id, 16): r.json for r in spark.read.parquet(place).collect()}
+    assert sorted(found) == list(range(100, 2000, 200)) and all('"name":"a"' in j for j in found.values())
+    # the others are where they were
+    assert packed.count() == 1990 and packed.filter("batch is null").count() == 10
