@@ -123,7 +123,9 @@ def _reported(spark, sf_dir) -> DataFrame:
 def _encoded(spark, sf_dir) -> DataFrame:
     """Of differing reports the first one as text, staged: filling reads sizes first and the whole rows afterwards."""
     path = session.new_run_dir(spark, "encoded")
-    dedup.keep_first(_reported(spark, sf_dir), dedup.SPAN_KEY, [F.col("json")]).write.parquet(path)
+    unique = dedup.keep_first(_reported(spark, sf_dir), dedup.SPAN_KEY, [F.col("json")])
+    with session.dropping_shuffles(spark):
+        unique.write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

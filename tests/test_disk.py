@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom import schema, session
 from spanloom.operators import links, packing, postings, store
+from spanloom.plans import catalog, inputs
 from spanloom.sources import sinks
 
 DAY = 86_400_000_000
@@ -137,3 +138,10 @@ def test_oversize_spans_move_once(spark, spans, monkeypatch):
     assert sorted(found) == list(range(100, 2000, 200)) and all('"name":"a"' in j for j in found.values())
     # the others are where they were
     assert packed.count() == 1990 and packed.filter("batch is null").count() == 10
+
+
+def test_staged_spans_leave_no_shuffle(spark, spans, monkeypatch):
+    monkeypatch.setattr(inputs, "spans", lambda spark, sf_dir: spans.unionByName(spans))
+    with new_shuffles(spark, wait=True) as left:
+        encoded = catalog._encoded(spark, "nowhere")
+    assert not left and encoded.count() == 2000
