@@ -813,14 +813,17 @@ def pair_call_events_timed(spark, sf_dir):
     """
     run = session.new_run_dir(spark, "timed-pairing")
     events = calls.call_events(inputs.attempts(spark, sf_dir))
-    for part, staged in enumerate((
-        events.repartitionByRange(4, "event.timestamp"),
-        events.orderBy("event.timestamp").limit(1).withColumns({
-            "call_id": F.lit(_LAST_CALL),
-            "event": F.col("event").withField("timestamp", F.lit(END_TS * 1000).cast("bigint")),
-        }),
-    )):
-        staged.write.parquet(f"{run}/in/part={part}")
+    # of the events as they were staged, so that the log is read and sampled once for both
+    kept = spark.read.schema(events.schema).parquet
+    for part in range(2):
+        staged = events.repartitionByRange(4, "event.timestamp") if part == 0 else (
+            kept(f"{run}/in/part=0").orderBy("event.timestamp").limit(1).withColumns({
+                "call_id": F.lit(_LAST_CALL),
+                "event": F.col("event").withField("timestamp", F.lit(END_TS * 1000).cast("bigint")),
+            })
+        )
+        with session.dropping_shuffles(spark):
+            staged.write.parquet(f"{run}/in/part={part}")
         arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in/*")
         pairing.stream_calls(arriving, f"{run}/out", f"{run}/checkpoint", True).awaitTermination()
     merged = calls.merge_parts(pairing.paired(spark, f"{run}/out"))

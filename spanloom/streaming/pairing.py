@@ -7,14 +7,20 @@ later still, for which nothing is held any more, is passed on as it is.
 
 Every row tells all that is known of a call, or one late event, in the form of ``calls.event_parts``:
 ``calls.merge_parts`` over the rows of a call gives what a table of all its events would give.
+
+Handing Python a row takes longer than what is done with it, so events reach the state as lists in a text, and rows leave
+it so.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
+from itertools import islice
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -36,6 +42,12 @@ _PARTS = (
 _PART = Row(*CALL_COLUMNS, "state", "revision", "timestamp", "last")
 _LAST = Row("attempt_no", "phase", "timestamp", "status")
 
+_call_of, _said_by = itemgetter(*CALL_COLUMNS), itemgetter(*_LAST)
+
+#: A text holds so many rows at most.
+_TEXT_ROWS = 1000
+_TEXT = Row("rows")
+
 
 class Calls(StatefulProcessor):
     """The calls of a shard: what the events of each so far say, and when to stop waiting for it.
@@ -88,14 +100,16 @@ class Calls(StatefulProcessor):
             if due is not None:
                 self.handle.registerTimer(due)
 
+    def _events(self, rows) -> Iterator[tuple[tuple, tuple]]:
+        """The call of each event, and what it says, in the order of ``last``."""
+        return ((_call_of(row), _said_by(row)) for row in rows)
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
         held = self._open()
         before = self._first_due(held)
         watermark = timerValues.getCurrentWatermarkInMs()
         now: dict[tuple, tuple] = {}
-        for row in rows:
-            call = tuple(row[c] for c in CALL_COLUMNS)
-            said = (row["attempt_no"], row["phase"], row["timestamp"], row["status"])
+        for call, said in self._events(rows):
             at = said[2]
             known = now.get(call) or held.get(call)
             # an event without a time cannot be waited for
@@ -107,7 +121,7 @@ class Calls(StatefulProcessor):
                 first, newest, revision, waits, last = known
                 now[call] = (
                     min(first, at), max(newest, at), revision, waits or at > newest,
-                    said if _rank(said) > _rank(last) else last,
+                    said if _follows(said, last) else last,
                 )
             else:
                 now[call] = (at, at, 0, True, said)
@@ -137,6 +151,62 @@ class Calls(StatefulProcessor):
         self._keep(left, None)
 
 
+class ListedCalls(Calls):
+    """``Calls`` for rows that hold a list of events each; what is said of calls are lists of rows."""
+
+    def _events(self, rows) -> Iterator[tuple[tuple, tuple]]:
+        return ((tuple(call), tuple(said)) for row in rows for call, *said in json.loads(row["events"]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        return _listed(super().handleInputRows(key, rows, timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        return _listed(super().handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+
+def _listed(rows: Iterable[Row]) -> Iterator[Row]:
+    """Rows without names, as many to a text as it holds; the fields of the last event come last."""
+    left = iter(rows)
+    while some := list(islice(left, _TEXT_ROWS)):
+        yield _TEXT(json.dumps([(*row[:-1], *row[-1]) for row in some]))
+
+
+def _unlisted(texts: DataFrame) -> DataFrame:
+    """The rows of ``_listed``."""
+    rows = texts.select(F.explode(F.from_json("rows", "array<array<string>>", {"mode": "FAILFAST"})).alias("row"))
+    names = [*CALL_COLUMNS, "state", "revision", "timestamp"]
+    plain = [F.col("row")[i].alias(name) for i, name in enumerate(names)]
+    last = F.struct(*[F.col("row")[len(names) + i].alias(name) for i, name in enumerate(_LAST)])
+    kinds = dict(re.findall(r"(\w+) ((?:struct<.*>)|\w+)", _PARTS))
+    return rows.select(*plain, last.alias("last")).select(*[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
+
+
+def _event_text() -> Column:
+    """An event as a JSON list: its call, then what it says."""
+    said = [F.coalesce(F.col(f"event.{c}").cast("string"), F.lit("null")) for c in _LAST]
+    return F.concat(F.lit("["), F.concat_ws(",", F.to_json(F.array(*CALL_COLUMNS)), *said), F.lit("]"))
+
+
+def _lists(batches):
+    """A row per shard of each batch, with a JSON list of its events."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch]).group_by("shard").aggregate([("event", "list")])
+        joined = pc.binary_join(table["event_list"].combine_chunks(), ",")
+        lists = pc.binary_join_element_wise("[", joined, "]", "")
+        yield pa.RecordBatch.from_arrays([table["shard"].combine_chunks(), lists], ["shard", "events"])
+
+
+def _follows(event: tuple, last: tuple) -> bool:
+    """Whether an event comes behind the last one so far."""
+    try:
+        return event > last
+    except TypeError:  # one of them lacks what the other one has
+        return _rank(event) > _rank(last)
+
+
 def _rank(event: tuple) -> tuple:
     """The order of ``max`` over event structs: nulls first."""
     return tuple((v is not None, v) for v in event)
@@ -157,12 +227,10 @@ def pair_calls(
         raise ValueError("state has to be kept for longer than the timeout")
     timed = events.withColumn("event_time", F.timestamp_micros(F.col("event.timestamp")))
     shard = F.pmod(F.xxhash64(*CALL_COLUMNS), F.lit(shards)).cast("int").alias("shard")
-    keyed = timed.withWatermark("event_time", delay).select(
-        shard, *CALL_COLUMNS, "event.timestamp", "event.attempt_no", "event.phase", "event.status"
-    )
-    return keyed.groupBy("shard").transformWithState(
-        Calls(timeout_ms, keep_ms), _PARTS, "append", "eventTime"
-    )
+    dealt = timed.withWatermark("event_time", delay).select(shard, _event_text().alias("event"))
+    return _unlisted(dealt.mapInArrow(_lists, "shard int, events string").groupBy("shard").transformWithState(
+        ListedCalls(timeout_ms, keep_ms), "rows string", "append", "eventTime"
+    ))
 
 
 def stream_calls(

@@ -1,5 +1,7 @@
 """Calls paired with keyed state and timers, over several micro-batches."""
 
+import json
+
 import pytest
 
 from spanloom import session
@@ -137,3 +139,44 @@ def test_settings_are_checked(spark):
     events = spark.createDataFrame([], EVENT)
     with pytest.raises(ValueError):
         pairing.pair_calls(events, timeout_ms=5, keep_ms=5)
+
+
+def odd_events():
+    """Texts that need care on their way, numbers that no float holds, and everything that may be absent."""
+    texts = ['say "a\\b"', "line\none\ttab\u0000", "é ✓ 😀", "", "null", "[1,2]", None]
+    rows = []
+    for i, text in enumerate(texts):
+        for no in (1, 2**60 + i):
+            at = 1_700_000_000_000_000 + i * SECOND
+            rows.append((f"c{i}", text, "GetRequest", "t" * 32, text, (at, no, 0, None)))
+            rows.append((f"c{i}", text, "GetRequest", "t" * 32, text, (at + 2**50 % SECOND, no, 1, None if i % 2 else 404)))
+    return rows
+
+
+def test_texts_and_numbers_survive_the_way_through_lists(spark, run_dir):
+    events = spark.createDataFrame(odd_events(), EVENT)
+    events.coalesce(1).write.parquet(f"{run_dir}/in")
+    arriving = spark.readStream.schema(EVENT).parquet(f"{run_dir}/in")
+    pairing.stream_calls(arriving, f"{run_dir}/out", f"{run_dir}/cp", True).awaitTermination()
+    merged = calls.merge_parts(pairing.paired(spark, f"{run_dir}/out"))
+    assert rows(merged) == rows(calls.event_parts(events)) and merged.count() == 7
+
+
+def test_python_is_handed_lists(spark):
+    """A thousand events of four shards are four rows, and what is said of them is one."""
+    import pyarrow as pa
+
+    events = [[(f"c{i}", "svc", "GetRequest", "t" * 32, None), 1, 1, i * SECOND, 200] for i in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"shard": pa.array([i % 4 for i in range(1000)], pa.int32()),
+                                        "event": [json.dumps(e) for e in events]})
+    listed = [r for b in pairing._lists([batch]) for r in b.to_pylist()]
+    assert len(listed) == 4
+    assert sorted(e[0][0] for r in listed for e in json.loads(r["events"]) if r["shard"] == 3) == sorted(
+        f"c{i}" for i in range(3, 1000, 4))
+    shard = pairing.ListedCalls(60_000, 7_200_000)
+    shard.init(CountedStore())
+    said = list(shard.handleInputRows((0,), iter([*listed, *listed[:1]]), At(0)))
+    assert len(said) == 1 and len(json.loads(said[0]["rows"])) == 1000
+    made = pairing._unlisted(spark.createDataFrame(said, "rows string"))
+    assert made.schema.simpleString() == spark.createDataFrame([], pairing._PARTS).schema.simpleString()
+    assert made.filter("state = 'finished' AND last.status = 200 AND parent_id IS NULL").count() == 1000
